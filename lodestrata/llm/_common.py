@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WORD_CACHE_ENTRIES = 400_000
 
@@ -58,6 +60,13 @@ def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
+def plain_words_table() -> bytes:
+    """For bytes.translate: lower-cases A-Z and blanks all but 0-9, a-z and bytes from 0x80 on."""
+    table = bytearray(i if 48 <= i <= 57 or 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
+    table[65:91] = range(97, 123)
+    return bytes(table)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept for the words seen last; the hash does not depend on the process."""
 
@@ -85,3 +94,37 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterat
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def sized_batches(batches: Iterator[pa.RecordBatch], name: str, most: int = 2 << 20, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Slices whose texts in column ``name`` have about ``most`` bytes; a longer text is a slice of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            base = ends[at - 1] if at else 0
+            to = min(max(int(np.searchsorted(ends, base + most, "right")), at + 1), at + rows)
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def scan_texts(docs: DataFrame, make: Callable[[], Callable], report: pa.Schema, ddl: str, carry: list[str] | None = None) -> DataFrame:
+    """Map whole texts to the columns of ``report``, in one pass without a shuffle.
+
+    ``make`` is called once in each task and returns a function of (texts as bytes, arrays of
+    the carried columns) that returns one array for each field of ``report``.  The columns
+    ``carry`` of ``docs`` come along as c0, c1, ... so that no name can clash.
+    """
+    carry = ["doc_id"] if carry is None else carry
+    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], F.col("text").cast("string").alias("text"))
+    kinds = [f"c{i} {inner.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(carry))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in sized_batches(batches, "text"):
+            kept = [batch.column(i) for i in range(len(carry))]
+            found = work(column_bytes(batch, "text"), kept)
+            yield pa.RecordBatch.from_arrays([*kept, *found], names=[f"c{i}" for i in range(len(carry))] + report.names)
+
+    return inner.mapInArrow(run, ", ".join([*kinds, ddl]))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm._common import Scratch, WordHashes, column_bytes, mixed, small_batches
+from lodestrata.llm._common import Scratch, WordHashes, column_bytes, mixed, sized_batches, small_batches
 
 N_HASHES = 1024
 BITS = 2
@@ -94,7 +94,7 @@ def _profiles(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in small_batches(batches):
+        for batch in sized_batches(batches, "text"):
             nodes, counts, signs, bands = [], [], [], []
             for text in column_bytes(batch, "text"):
                 found = shingles(text, hashes, size)
@@ -114,7 +114,7 @@ def _sets(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in small_batches(batches):
+        for batch in sized_batches(batches, "text"):
             out = []
             for node, text in zip(batch.column(1).to_pylist(), column_bytes(batch, "text"), strict=True):
                 found = shingles(text, hashes, size)

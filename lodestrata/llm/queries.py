@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lodestrata.llm.decontam import leaked_passages, with_verdict
 from lodestrata.llm.minhash_dedup import near_duplicates
+from lodestrata.llm.toxicity import fold, toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +18,20 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_minhash_dedup": op1_minhash_dedup}
+def op5_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_verdict(leaked_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+    return found.select(F.col("c0").alias("doc_id"), F.col("words").alias("n_words"), "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels, held = _table(spark, sf_dir, "labels"), F.coalesce(fold(F.col("doc_id")) % 4 == 2, F.lit(False))
+    scored = toxicity_scores(_table(spark, sf_dir, "documents"), labels, ~held).withColumnRenamed("c0", "doc_id")
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
+    "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
+    "op6_ftrl_toxicity": op6_ftrl_toxicity,
+}
 ORACLES: dict[str, str] = {}
