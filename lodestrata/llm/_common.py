@@ -19,7 +19,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD_CACHE_ENTRIES = 400_000
+WORD_CACHE_ENTRIES = 200_000
+#: Bytes of one batch that goes to a Python worker; the session's own bound, if smaller, stays.
+ARROW_BYTES = 8 << 20
+pa.set_memory_pool(pa.system_memory_pool())  # gives freed batches back to the system
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -55,6 +58,16 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def arrow_map(df: DataFrame, run: Callable, ddl: str) -> DataFrame:
+    """mapInArrow with batches of a bounded size, which the session keeps from then on."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark = df.sparkSession
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < now <= ARROW_BYTES:
+        spark.conf.set(key, str(ARROW_BYTES))
+    return df.mapInArrow(run, ddl)
+
+
 def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
@@ -127,4 +140,4 @@ def scan_texts(docs: DataFrame, make: Callable[[], Callable], report: pa.Schema,
             found = work(column_bytes(batch, "text"), kept)
             yield pa.RecordBatch.from_arrays([*kept, *found], names=[f"c{i}" for i in range(len(carry))] + report.names)
 
-    return inner.mapInArrow(run, ", ".join([*kinds, ddl]))
+    return arrow_map(inner, run, ", ".join([*kinds, ddl]))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestrata.llm.curriculum import planned, position
 from lodestrata.llm.decontam import leaked_passages, with_verdict
 from lodestrata.llm.elias_fano import token_files_round_trip
+from lodestrata.llm.html_templates import main_texts
 from lodestrata.llm.minhash_dedup import near_duplicates
 from lodestrata.llm.secrets import digests, found_secrets
 from lodestrata.llm.separator_scan import counted_documents
@@ -54,6 +55,10 @@ def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", at.alias("position")).orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op9_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(found_secrets(_table(spark, sf_dir, "documents")))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
     "op7_separator_scan": op7_separator_scan,
     "op8_curriculum_mix": op8_curriculum_mix,
+    "op9_html_templates": op9_html_templates,
     "op10_secret_ownership": op10_secret_ownership,
 }
 ORACLES: dict[str, str] = {}

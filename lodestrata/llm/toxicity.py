@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm._common import WORD_CACHE_ENTRIES, mixed, plain_words_table, scan_texts, sized_batches
+from lodestrata.llm._common import WORD_CACHE_ENTRIES, arrow_map, mixed, plain_words_table, scan_texts, sized_batches
 
 #: Weights are a table of 2**BITS numbers: that bounds what is broadcast (12 bytes for each non-zero one).
 BITS = 21
@@ -125,8 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, learn_from) -> dict[int, float]:
     chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = chosen.withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id").limit(MAX_TRAIN_DOCS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    known = texts.select("turn", "label", "text").mapInArrow(_featurised, "turn long, label int, at binary")
-    rows = known.repartition(1).sortWithinPartitions("turn", "at").mapInArrow(_learned, "at long, w double").collect()
+    known = arrow_map(texts.select("turn", "label", "text"), _featurised, "turn long, label int, at binary")
+    rows = arrow_map(known.repartition(1).sortWithinPartitions("turn", "at"), _learned, "at long, w double").collect()
     return {r["at"]: r["w"] for r in rows}
 
 
