@@ -13,6 +13,7 @@ from lodestrata.llm.minhash_dedup import near_duplicates
 from lodestrata.llm.secrets import digests, found_secrets
 from lodestrata.llm.separator_scan import counted_documents
 from lodestrata.llm.toxicity import fold, toxicity_scores
+from lodestrata.llm.voronoi_knn import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def _tokenizer() -> str:
     import public_tokenizers
 
@@ -65,6 +70,7 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_voronoi_topk": op2_voronoi_topk,
     "op4_elias_fano_token_files": op4_elias_fano_token_files,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
@@ -73,4 +79,16 @@ QUERIES = {
     "op9_html_templates": op9_html_templates,
     "op10_secret_ownership": op10_secret_ownership,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_voronoi_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+        ), s AS (
+            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5
+    """,
+}
