@@ -109,7 +109,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterat
             yield batch.slice(at, rows)
 
 
-def sized_batches(batches: Iterator[pa.RecordBatch], name: str, most: int = 2 << 20, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+def sized_batches(batches: Iterator[pa.RecordBatch], name: str, most: int = 1 << 20, rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """Slices whose texts in column ``name`` have about ``most`` bytes; a longer text is a slice of its own."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False)

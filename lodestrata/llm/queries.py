@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.llm.ctw_lm import scored_texts
 from lodestrata.llm.curriculum import planned, position
 from lodestrata.llm.decontam import leaked_passages, with_verdict
 from lodestrata.llm.elias_fano import token_files_round_trip
@@ -28,6 +29,12 @@ def op2_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op3_ctw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(fold(F.col("doc_id")) % 7 == 2, F.lit(False))
+    scored = scored_texts(_table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def _tokenizer() -> str:
     import public_tokenizers
 
@@ -71,6 +78,7 @@ def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_voronoi_topk": op2_voronoi_topk,
+    "op3_ctw_scores": op3_ctw_scores,
     "op4_elias_fano_token_files": op4_elias_fano_token_files,
     "op5_wu_manber_decontamination": op5_wu_manber_decontamination,
     "op6_ftrl_toxicity": op6_ftrl_toxicity,
