@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash.
 
 Every document becomes a set of hashed word shingles.  Documents with equal sets are one
-class.  Each class gets ``N_HASHES`` minima; runs of ``BAND_ROWS`` full minima make the band
+class.  Each class gets ``N_HASHES`` minima; runs of full minima make the band
 keys, and of all minima only the low ``BITS`` bits are retained, packed into words by bit
 plane.  The similarity of two classes is estimated from the bit count of the planes'
 differences, corrected for the chance of equal low bits, and links are confirmed on the
@@ -12,9 +12,9 @@ smallest class only.  Of what that leaves in more than one component, the member
 bucket's largest component meet the members of other components, inside a sort-merge join
 whose condition holds the estimate, so that only pairs near the threshold come out, each once.
 
-Chance of losing a link at exactly the threshold 0.85: 40 bands of 8 rows miss it with
-probability 3e-6, the estimate (4.5 standard deviations below) with 4e-6; both fall fast
-above the threshold.
+Chance of losing a link at exactly the threshold: the bands (at 0.85, 40 of 8 minima each) miss
+it with probability ``MISSED``, the estimate (4.5 standard deviations below) with 4e-6; both
+fall fast above the threshold.
 """
 
 from __future__ import annotations
@@ -32,8 +32,7 @@ from lodestrata.llm._common import Scratch, WordHashes, arrow_map, column_bytes,
 
 N_HASHES = 1024
 BITS = 2
-BANDS = 40
-BAND_ROWS = 8
+MISSED = 3e-6
 WORDS = N_HASHES // 64
 #: Standard deviations of the estimate below the threshold at which a pair is still confirmed.
 SLACK = 4.5
@@ -41,10 +40,19 @@ SLACK = 4.5
 _random = np.random.default_rng(20_240_501)
 _FACTORS = _random.integers(0, 2**32, N_HASHES, np.uint64).astype(np.uint32) | np.uint32(1)
 _SHINGLE = _random.integers(0, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND = _random.integers(0, 2**63, BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND = _random.integers(0, 2**63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 _PROFILE = "doc_id long, node long, n_shingles long, signature array<bigint>, bands array<bigint>"
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and minima in each, so that a pair at the threshold shares a band key but for ``MISSED``."""
+    s = min(percent, 99) / 100
+    rows = max(1, int(np.log(0.25) / np.log(s)))
+    bands = int(np.ceil(np.log(MISSED) / np.log(1 - s**rows)))
+    rows = min(rows, N_HASHES // bands)
+    return bands, rows
+
+
 def shingles(text: bytes | None, hashes: WordHashes, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's ``size``-word shingles.
 
@@ -84,12 +92,13 @@ def packed(low: np.ndarray) -> np.ndarray:
     return np.concatenate([np.packbits((v >> np.uint32(b)).astype(np.uint8) & 1).view(np.int64) for b in range(BITS)])
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
-    rows = low[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS).astype(np.uint64)
-    return mixed((rows * _BAND).sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key for each band; keys of different bands differ."""
+    taken = low[: bands * rows].reshape(bands, rows).astype(np.uint64)
+    return mixed((taken * _BAND[:rows]).sum(axis=1, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)).view(np.int64)
 
 
-def _profiles(size: int):
+def _profiles(size: int, bands_rows: tuple[int, int]):
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n_shingles", pa.int64()), ("signature", pa.list_(pa.int64())), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +111,7 @@ def _profiles(size: int):
                 counts.append(len(found))
                 nodes.append(node_of(found) if len(found) else None)
                 signs.append(None if low is None else packed(low))
-                bands.append(None if low is None else band_keys(low))
+                bands.append(None if low is None else band_keys(low, *bands_rows))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(signs, schema.field(3).type), pa.array(bands, schema.field(4).type)], schema=schema)
 
     return run
@@ -212,7 +221,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     spark = docs.sparkSession
     scratch = Scratch(spark, "minhash")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = scratch.keep(arrow_map(docs, _profiles(size), _PROFILE), "profile")
+    profile = scratch.keep(arrow_map(docs, _profiles(size, banding(percent)), _PROFILE), "profile")
 
     # A class is a set; its first document stands for it.
     classes = scratch.keep(profile.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes")
@@ -242,7 +251,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     x = open_.where("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("main"), F.col("signature").alias("sa"), F.col("bands").alias("ba"))
     y = open_.select(F.col("key").alias("key2"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("signature").alias("sb"), F.col("bands").alias("bb"))
     near = (F.col("key") == F.col("key2")) & (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (differences(F.col("sa"), F.col("sb")) <= limit)
-    shared = F.coalesce(*[F.when(F.col("ba")[i] == F.col("bb")[i], F.col("ba")[i]) for i in range(BANDS)])
+    shared = F.coalesce(*[F.when(F.col("ba")[i] == F.col("bb")[i], F.col("ba")[i]) for i in range(banding(percent)[0])])
     near &= shared == F.col("key")  # once for each pair, at the first key that it shares
     more = x.join(y.hint("merge"), near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = scratch.keep(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs-2")
