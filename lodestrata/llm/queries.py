@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.llm import oracles
 from lodestrata.llm.ctw_lm import scored_texts
 from lodestrata.llm.curriculum import planned, position
 from lodestrata.llm.decontam import leaked_passages, with_verdict
@@ -88,15 +89,9 @@ QUERIES = {
     "op10_secret_ownership": op10_secret_ownership,
 }
 ORACLES: dict[str, str] = {
-    "op2_voronoi_topk": """
-        WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
-        ), s AS (
-            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
-            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
-        )
-        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
-        FROM s QUALIFY rank <= 5
-    """,
+    "op1_minhash_dedup": oracles.OP1,
+    "op2_voronoi_topk": oracles.OP2,
+    "op5_wu_manber_decontamination": oracles.OP5,
+    "op8_curriculum_mix": oracles.OP8,
+    "op10_secret_ownership": oracles.OP10,
 }
