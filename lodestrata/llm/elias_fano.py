@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm._common import Scratch, sized_batches
-from lodestrata.llm._encode import Encoder
+from lodestrata.llm._common import Scratch, arrow_map, sized_batches
+from lodestrata.llm._encode import encoder as shared_encoder
 
 MAGIC = b"LSEF"
 HEADER = struct.Struct("<4sIQQIIQ")
@@ -110,7 +110,7 @@ _FILES = "part int, file int, first long, n_ids long, doc_ids array<bigint>, dat
 
 def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(path), TaskContext.get().partitionId()
+        encoder, part = shared_encoder(path), TaskContext.get().partitionId()
         end, width = np.array([end_id], encoder.kind).tobytes(), np.dtype(encoder.kind).itemsize
         names, held, size, file, first = [], [], 0, 0, 0
 
@@ -147,7 +147,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
     ordered = docs.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    ordered.mapInArrow(_encoded(tokenizer, end_id), _FILES).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    arrow_map(ordered, _encoded(tokenizer, end_id), _FILES).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +176,7 @@ def read_token_files(spark, path: str) -> DataFrame:
         total += sums[part]
     bases = spark.createDataFrame(begins, "part int, base long")
     held = files.join(F.broadcast(bases), "part").select((F.col("base") + F.col("first")).alias("begin"), "doc_ids", "data")
-    return held.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return arrow_map(held, _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:

@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm._common import Scratch, sized_batches
-from lodestrata.llm._encode import Encoder
+from lodestrata.llm._common import Scratch, arrow_map, sized_batches
+from lodestrata.llm._encode import encoder as shared_encoder
 
 BLOCK_IDS = 1 << 19
 RUN = 1024
@@ -28,7 +28,7 @@ def _flat(path: str, end_id: int, block_ids: int):
     schema = pa.schema([("file", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("ordinal", pa.int64()), ("doc_ids", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, file = Encoder(path, special=False), TaskContext.get().partitionId()
+        encoder, file = shared_encoder(path, False), TaskContext.get().partitionId()
         end, size = np.array([end_id], encoder.kind).tobytes(), block_ids * np.dtype(encoder.kind).itemsize
         block = ordinal = 0
         rest = b""
@@ -57,7 +57,7 @@ def write_flat_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, bl
     at ends.  A null text is empty.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    flat = docs.mapInArrow(_flat(tokenizer, end_id, block_ids), "file int, block long, ids binary, ordinal long, doc_ids array<bigint>")
+    flat = arrow_map(docs, _flat(tokenizer, end_id, block_ids), "file int, block long, ids binary, ordinal long, doc_ids array<bigint>")
     flat.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
@@ -92,7 +92,7 @@ def token_counts(blocks: DataFrame, end_id: int, kind: str = "<u2") -> DataFrame
     ``blocks`` needs file, block and ids.  Ids after a file's last end are a document without
     an end and give a row too.  Empty files give no row.
     """
-    s = blocks.select("file", "block", "ids").mapInArrow(_summaries(end_id, kind), "file int, block long, n long, ends long, head long, tail long, inner array<bigint>")
+    s = arrow_map(blocks.select("file", "block", "ids"), _summaries(end_id, kind), "file int, block long, n long, ends long, head long, tail long, inner array<bigint>")
     s = s.withColumn("run", F.floor(F.col("block") / RUN))
     within = _scanned(s, ["file", "run"], "block")
     # A run as one block: what stands after its last end, or all its ids.
@@ -119,7 +119,7 @@ def counted_documents(docs: DataFrame, tokenizer: str, end_id: int, block_ids: i
     scratch = Scratch(spark, "separator-scan")
     write_flat_files(docs, scratch.path("flat"), tokenizer, end_id, block_ids)
     flat = spark.read.parquet(scratch.path("flat"))
-    kind = Encoder(tokenizer).kind
+    kind = shared_encoder(tokenizer, False).kind
     counts = token_counts(flat.where("ids is not null"), end_id, kind)
     listed = flat.where("ids is null").select("file", "ordinal", F.posexplode("doc_ids").alias("i", "doc_id")).select("file", (F.col("ordinal") + F.col("i")).alias("ordinal"), "doc_id")
     return listed.join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens")
