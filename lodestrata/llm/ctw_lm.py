@@ -10,9 +10,9 @@ text's score is the sum of log10 probabilities of its bytes (A-Z lower-cased) an
 symbol, so scores are those of one distribution over all texts; divided by the bytes they
 give the code length.
 
-The tree is held as sorted runs with their node predictions.  It keeps the contexts seen at
-least 2**t times for the smallest t at which no depth has more than ``MAX_RUNS`` runs: that
-bounds what is broadcast, while every training byte counts in every depth that is kept.
+The tree is held as sorted runs with their node predictions.  Each depth keeps the contexts seen at
+least 2**t times for the smallest t at which it has no more than ``MAX_RUNS`` runs: that
+bounds what is broadcast, while every training byte counts at every depth that is kept.
 """
 
 from __future__ import annotations
@@ -179,6 +179,7 @@ class Model:
         return out
 
     def scores(self, codes: np.ndarray) -> np.ndarray:
+        codes = codes & np.uint64((1 << (8 * len(self.tree.codes))) - 1)
         out = np.empty(len(codes))
         at, todo, unknown = self._slot(codes), np.arange(len(codes)), []
         while len(todo):
@@ -194,6 +195,10 @@ class Model:
         return out
 
 
+#: The model and word logarithms that this process made last, by the run's name.
+_made: dict[str, tuple] = {}
+
+
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(codes, kind="stable")
     codes, counts = codes[order], counts[order]
@@ -203,6 +208,7 @@ def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct runs of a task with their counts, merged as they come."""
+    _made.clear()  # a worker that scored before is free for counting
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = most = 0
 
@@ -214,10 +220,10 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t.lower() if t else b"" for t in batch.column(0).cast(pa.binary()).to_pylist()]
         held.append(np.unique(run_codes(texts), return_counts=True))
         size += len(held[-1][0])
-        if size > max(1_000_000, 2 * most):
+        if size > max(600_000, 2 * most):
             held = [_summed(*(np.concatenate(x) for x in zip(*held, strict=True)))]
             size = most = len(held[0][0])
-            if size > 1_500_000:
+            if size > 800_000:
                 yield out()
                 held, size, most = [], 0, 0
     if held:
@@ -225,6 +231,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _made.clear()
     held: Counter[bytes] = Counter()
 
     def out() -> pa.RecordBatch:
@@ -236,7 +243,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in texts:
             if t:
                 held.update(t.lower().split())
-        if len(held) > 400_000:
+        if len(held) > 150_000:
             yield out()
             held.clear()
     if held:
@@ -250,31 +257,30 @@ def train_tree(docs: DataFrame, scratch: Scratch) -> Tree | None:
     for d in range(DEPTH - 1, -1, -1):
         shorter = levels[0].groupBy(F.col("code").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("code")).agg(F.sum("n").alias("n"))
         levels.insert(0, scratch.keep(shorter, f"runs-{d}"))
-    least = 0
+    least = [0]  # grows with the depth, so that a kept context's shorter ones are kept too
     for level in levels[1:]:
+        least.append(least[-1])
         contexts = level.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("runs"))
         by = contexts.groupBy(F.floor(F.log2("total")).cast("int").alias("size")).agg(F.sum("runs").alias("runs")).collect()
         room = MAX_RUNS
         for r in sorted(by, key=lambda r: -r["size"]):
             room -= r["runs"]
             if room < 0:
-                least = max(least, r["size"] + 1)
+                least[-1] = max(least[-1], r["size"] + 1)
                 break
     kept = []
     for d, level in enumerate(levels):
-        if least and d:
-            contexts = level.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("total")).where(F.col("total") >= 2**least)
+        if least[d]:
+            contexts = level.groupBy(F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("total")).where(F.col("total") >= 2 ** least[d])
             level = level.join(contexts, F.shiftright("code", 8) == F.col("context"), "left_semi")
         table = level.select("code", "n").toArrow()
+        if not table.num_rows:
+            break
         codes, counts = table["code"].to_numpy().view(np.uint64), table["n"].to_numpy()
         order = np.argsort(codes)
         kept.append((codes[order], counts[order]))
     scratch.drop(*(f"runs-{d}" for d in range(DEPTH + 1)))
-    return weighted_tree(kept) if len(kept[0][0]) else None
-
-
-#: The model and word logarithms that this process made last, by the run's name.
-_made: dict[str, tuple] = {}
+    return weighted_tree(kept) if kept else None
 
 
 def _scorer(run: str, model_of, words_of):
@@ -346,6 +352,8 @@ def scored_texts(docs: DataFrame, learn_from: Column) -> DataFrame:
     make, schema = _scorer(scratch.base, model_of, words_of)
     first = scan_texts(docs, make, schema, "n_tokens long, n_known long, logs double, score double, tail array<binary>")
     first = scratch.keep(first.withColumn("row", F.monotonically_increasing_id()), "scored")
+    words_of.destroy()
+    model_of.destroy()
     rare = first.select("row", F.explode("tail").alias("word"))
     rare = rare.join(vocabulary, "word", "left").groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("more_logs"), F.count("n").alias("more_known"))
     out = first.join(rare, "row", "left")
