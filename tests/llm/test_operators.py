@@ -1,0 +1,601 @@
+"""Each operator against brute force on small tables, with nulls, ties, repeats, long texts, empty tables and clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def docs_of(spark, texts, sources=None, ids=None):
+    sources = sources or [f"s{i % 3}" for i in range(len(texts))]
+    ids = ids or list(range(len(texts)))
+    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t)) for i, t, s in zip(ids, texts, sources, strict=True)], DOCS)
+
+
+def clashing(df, *names):
+    """Extra columns whose names the operators use inside."""
+    for name in names:
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+def words(rng, n, vocabulary=200):
+    return [f"w{rng.randrange(vocabulary)}" for _ in range(n)]
+
+
+# --- op1 ---------------------------------------------------------------------------------------------------------
+
+
+def shingle_set(text, size=5):
+    w = (text or "").encode().lower().split()
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1)))
+
+
+def components(rows, percent):
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                root[find(a)] = find(b)
+    groups = defaultdict(list)
+    for k in range(len(sets)):
+        groups[find(k)].append(sets[k][0])
+    return sorted((sets[k][0], len(sets[k][1]), min(groups[find(k)])) for k in range(len(sets)))
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_near_duplicates_equal_brute_force(spark, percent):
+    from lodestrata.llm.minhash_dedup import near_duplicates
+
+    rng = random.Random(percent)
+    rows = [None, "", "  \n", "one", "ONE", "two words", "Two  words", "a b c d", "a b c d e"]
+    for _ in range(12):
+        base = words(rng, rng.randrange(5, 120))
+        rows.append(" ".join(base))
+        for _ in range(rng.randrange(8)):  # chains of edits: links lead over several documents
+            base = list(base)
+            for _ in range(rng.randrange(3)):
+                base[rng.randrange(len(base))] = f"e{rng.randrange(1000)}"
+            rows.append(" ".join(base).upper() if rng.random() < 0.3 else " ".join(base))
+    rows.append(" ".join(words(rng, 30_000)))
+    rng.shuffle(rows)
+    docs = clashing(docs_of(spark, rows), "node", "key", "signature", "kept", "component_id")
+    got = sorted(tuple(r) for r in near_duplicates(docs, percent).select("doc_id", "n_shingles", "component_id", "kept").collect())
+    assert [r[:3] for r in got] == components(list(enumerate(rows)), percent)
+    assert all(kept == (i == c) for i, _, c, kept in got)
+
+
+def test_dense_group_of_near_copies_is_exact(spark):
+    from lodestrata.llm.minhash_dedup import near_duplicates
+
+    rng = random.Random(5)
+    base = words(rng, 100, 10_000)
+    rows = []
+    for _ in range(150):
+        w = list(base)
+        for _ in range(rng.randrange(6)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(40)}"
+        rows.append(" ".join(w))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs_of(spark, rows)).collect())
+    assert got == components(list(enumerate(rows)), 85)
+
+
+def test_near_duplicates_of_repeated_rows_null_ids_and_nothing(spark):
+    from lodestrata.llm.minhash_dedup import near_duplicates
+
+    docs = docs_of(spark, ["a b c d e f"] * 4, ids=[7, 7, None, 9])
+    got = Counter(tuple(r) for r in near_duplicates(docs).select("doc_id", "component_id", "kept").collect())
+    assert got == {(7, 7, True): 2, (None, 7, False): 1, (9, 7, False): 1}
+    assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_packed_estimate_corrects_for_chance():
+    from lodestrata.llm import minhash_dedup as M
+
+    rng = np.random.default_rng(1)
+    a = np.unique(rng.integers(0, 2**63, 1000).astype(np.uint64))
+    b = np.concatenate([a[:800], np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))])
+    x, y = M.packed(M.minima(a)), M.packed(M.minima(np.sort(b)))
+    diff = sum(int((x[k] ^ y[k] | x[k + M.WORDS] ^ y[k + M.WORDS]).astype(np.uint64)).bit_count() for k in range(M.WORDS))
+    estimate = (1 - diff / M.N_HASHES - 0.25) / 0.75
+    assert abs(estimate - 800 / 1200) < 0.06
+
+
+# --- op2 ---------------------------------------------------------------------------------------------------------
+
+
+def test_top_k_equals_brute_force(spark):
+    from lodestrata.llm import voronoi_knn as V
+
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(400)]
+    rows += [(400 + i, [0.5] * 8) for i in range(60)]  # ties
+    rows += [(50, [0.25] * 8), (900, None), (950, [1.0, None] * 4), (1000, [math.inf] * 8), (1050, [math.nan] * 8), (None, [1.0] * 8), (1100, [1.0])]
+    df = clashing(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "uid", "cell", "score", "rank")
+    got = sorted(tuple(r) for r in V.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    good = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows if i is not None and v is not None and len(v) == 8 and all(x is not None and math.isfinite(x) for x in v)]
+    expected = []
+    for a, (i, q) in enumerate(good):
+        if i % 50 == 0:
+            best = sorted((-int(q @ x), j) for b, (j, x) in enumerate(good) if b != a)[:5]
+            expected += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert got == sorted(expected)
+
+
+def test_top_k_prunes_but_stays_exact_on_clusters(spark):
+    from lodestrata.llm import voronoi_knn as V
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(6, 4)) * 20
+    rows = [(i, [float(x) for x in centres[i % 6] + rng.normal(size=4) * 0.1]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): r.score for r in V.top_k(df, F.col("vec_id") % 20 == 0).collect()}
+    q = {i: np.floor(256 * np.array(v)).astype(np.int64) for i, v in rows}
+    for i in range(0, 600, 20):
+        best = sorted((int(q[i] @ q[j]) for j in q if j != i), reverse=True)[:5]
+        assert [got[i, k + 1] for k in range(5)] == best
+
+
+@pytest.mark.parametrize("rows", [[], [(0, [1.0, 2.0])], [(0, [1.0]), (1, [2.0])], [(1, [1.0])]])
+def test_top_k_of_few(spark, rows):
+    from lodestrata.llm.voronoi_knn import top_k
+
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert top_k(df, F.col("vec_id") % 50 == 0).count() == (len(rows) - 1 if any(i == 0 for i, _ in rows) else 0)
+
+
+# --- op3 ---------------------------------------------------------------------------------------------------------
+
+
+def fold7(i):
+    return zlib.crc32(str(i).encode()) % 7 == 2
+
+
+def test_scores_are_of_one_distribution_and_base_is_exact(spark, monkeypatch):
+    from lodestrata.llm import ctw_lm as C
+    from lodestrata.llm.toxicity import fold
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["Red", "green", "blue", "éa", f"x{rng.randrange(30)}"]) for _ in range(rng.randrange(1, 60))) for _ in range(60)] + [None, "", "\n", "red " * 5000]
+    docs = clashing(docs_of(spark, texts), "word", "n", "row", "tail", "score")
+    for most in (500_000, 4):
+        monkeypatch.setattr(C, "MAX_WORDS", most)
+        rows = {r.doc_id: r for r in C.scored_texts(docs, ~(fold(F.col("doc_id")) % 7 == 2)).collect()}
+        counts = Counter()
+        for i, t in enumerate(texts):
+            if not fold7(i):
+                counts.update([*(t or "").encode().lower().split(), b"\n"])
+        n, v = sum(counts.values()), len(counts)
+        for i, t in enumerate(texts):
+            tokens = [*(t or "").encode().lower().split(), b"\n"]
+            assert (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (len(tokens), sum(counts[w] > 0 for w in tokens), n)
+            assert rows[i].base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v)) for w in tokens))
+            assert rows[i].score < 0 and math.isfinite(rows[i].score)
+
+
+def test_tree_predictions_sum_to_one_and_match_a_plain_context_tree():
+    from lodestrata.llm import ctw_lm as C
+
+    texts = [b"abracadabra", b"abba", b"cab"] * 3
+    codes = C.run_codes(texts)
+    full, n = np.unique(codes, return_counts=True)
+    runs = [(full, n)]
+    for d in range(C.DEPTH - 1, -1, -1):
+        runs.insert(0, C._summed(runs[0][0] & np.uint64((1 << (8 * (d + 1))) - 1), runs[0][1]))
+    model = C.Model(C.weighted_tree(runs))
+    for context in (b"\xff" * 5, b"\xffabra", b"zzzzz", b"cadab"):
+        base = int.from_bytes(context, "big") << 8
+        every = np.array([base | b for b in range(256)], np.uint64)
+        assert (10 ** model.scores(every)).sum() == pytest.approx(1)
+        assert np.allclose(model.scores(every), model.computed(every), atol=1e-5)
+    # The same mixture by recursion over contexts, for one bit.
+    seen = Counter()
+    for c in codes.tolist():
+        for d in range(C.DEPTH + 1):
+            seen[d, (c >> 8) & ((1 << (8 * d)) - 1), (c >> 7) & 1] += 1
+
+    def kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def log_pw(d, context):
+        own = kt(seen[d, context, 0], seen[d, context, 1])
+        if d == C.DEPTH:
+            return own
+        below = {c for e, c, _ in seen if e == d + 1 and c & ((1 << (8 * d)) - 1) == context}
+        return math.log(0.5) + np.logaddexp(own, sum(log_pw(d + 1, c) for c in below))
+
+    context = int.from_bytes(b"\xffabra", "big")
+    p, left = 0.0, 1.0
+    for d in range(C.DEPTH + 1):
+        c = context & ((1 << (8 * d)) - 1)
+        a, b = seen[d, c, 0], seen[d, c, 1]
+        w = 1.0 if d == C.DEPTH else math.exp(math.log(0.5) + kt(a, b) - log_pw(d, c))
+        p, left = p + left * w * (b + 0.5) / (a + b + 1), left * (1 - w)
+    got = 10 ** model.scores(np.array([(context << 8) | x for x in range(128, 256)], np.uint64))
+    assert got.sum() == pytest.approx(p, rel=1e-4)
+
+
+def test_pruned_tree_is_still_a_distribution(spark, monkeypatch):
+    from lodestrata.llm import ctw_lm as C
+    from lodestrata.llm._common import Scratch
+
+    monkeypatch.setattr(C, "MAX_RUNS", 300)
+    rng = random.Random(1)
+    docs = docs_of(spark, ["".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(20)])
+    tree = C.train_tree(docs, Scratch(spark, "t"))
+    assert max(len(c) for c in tree.codes) <= 300
+    model = C.Model(tree)
+    for context in (b"abcde", b"\xff" * 5, b"a b c"):
+        every = np.array([(int.from_bytes(context, "big") << 8) | b for b in range(256)], np.uint64)
+        assert (10 ** model.scores(every)).sum() == pytest.approx(1)
+
+
+def test_scores_without_training(spark):
+    from lodestrata.llm.ctw_lm import scored_texts
+
+    rows = scored_texts(docs_of(spark, ["ab", None]), F.lit(False)).orderBy("doc_id").collect()
+    assert rows[0].base_score is None and rows[0].score == pytest.approx(-24 * math.log10(2)) and rows[1].train_tokens == 0
+    assert scored_texts(docs_of(spark, ["a"]).limit(0), F.lit(True)).count() == 0
+
+
+def test_model_learns_structure_of_unseen_texts(spark):
+    """Held-out code length lies well under the entropy of single bytes."""
+    from lodestrata.llm.ctw_lm import scored_texts
+    from lodestrata.llm.toxicity import fold
+
+    rng = random.Random(9)
+    parts = ["an", "the", "er", "ing", "ous", "re", "st", "on"]
+    texts = [" ".join("".join(rng.choice(parts) for _ in range(rng.randrange(2, 6))) for _ in range(80)) for _ in range(150)]
+    held = [r for r in scored_texts(docs_of(spark, texts), ~(fold(F.col("doc_id")) % 7 == 2)).collect() if fold7(r.doc_id)]
+    counts = Counter("".join(texts))
+    entropy = -sum(n * math.log2(n / counts.total()) for n in counts.values()) / counts.total()
+    bits = -sum(r.score for r in held) * math.log2(10) / sum(len(texts[r.doc_id]) + 1 for r in held)
+    assert held and bits < 0.7 * entropy
+
+
+# --- op4, op7 ----------------------------------------------------------------------------------------------------
+
+TEXTS = ["Hello, world!", None, "", "It's 42 <|endoftext|> ok", "É é ﬁ 日本 🙂", "a" * 3000, "x " * 40_000, "Hello, world!", "tab\tand\nline", "don't <|STARTOFTEXT|> <|startoftext|>s", "word%%% (x),(y)"]
+
+
+def library_ids(special=True):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    t.encode_special_tokens = not special
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+def tokenizer():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_token_files_round_trip(spark, monkeypatch):
+    from lodestrata.llm import elias_fano as E
+
+    ids = [5, 3, 9, 1, 7, 2, 0, 9, 11, 4, 6]
+    docs = clashing(docs_of(spark, TEXTS, ids=ids), "part", "tie", "start", "data")
+    encode, start, expected = library_ids(), 0, []
+    for i, t in sorted(zip(ids, TEXTS, strict=True), key=lambda x: x[0]):
+        own = [*encode(t), 1]
+        expected.append((i, start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+        start += len(own)
+    got = sorted((tuple(r) for r in E.token_files_round_trip(docs, tokenizer()).collect()), key=lambda r: r[1])
+    assert sorted(got) == sorted(expected) or sum(r[0] == 9 for r in got) == 2
+    assert [r[1] for r in got] == np.cumsum([0, *(r[2] for r in got[:-1])]).tolist()
+    assert E.token_files_round_trip(docs.limit(0), tokenizer()).count() == 0
+
+
+def test_elias_fano_select_and_size():
+    from lodestrata.llm.elias_fano import HEADER, TokenFile, write_file
+
+    rng = random.Random(0)
+    for sizes in ([], [0], [1], [0] * 300, [rng.randrange(3) for _ in range(1000)], [0, 1 << 16, 0, 5, *[rng.randrange(900) for _ in range(500)], 100_000, 1]):
+        data = write_file([np.zeros(n, "<u2").tobytes() for n in sizes], "<u2")
+        f = TokenFile(data)
+        assert [f.end(i) for i in range(len(sizes))] == f.ends().tolist() == np.cumsum(sizes).tolist()
+        bound = len(sizes) * (2 + max(0, math.log2(max(1, sum(sizes)) / max(1, len(sizes))))) / 8 + len(sizes) / 16 + 20
+        assert len(data) - HEADER.size - 2 * sum(sizes) <= bound
+
+
+@pytest.mark.parametrize("special", [True, False])
+def test_encoder_equals_the_library(special):
+    from lodestrata.llm._encode import Encoder
+
+    rng = random.Random(3)
+    pool = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "It's", "don't", "É", "é", "\xa0", "ﬁ", "İ", "ΣΑΣ", "123", "1a2", "…,!", "'S", "K", "á", "​", "Ⅷ", "²", "abc,", "%%%", "(", " ", "\n", "\t"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(12))) for _ in range(500)]
+    encode = library_ids(special)
+    got = Encoder(tokenizer(), special).encode([t.encode() for t in texts])
+    assert [np.frombuffer(b, "<u2").tolist() for b in got] == [encode(t) for t in texts]
+
+
+@pytest.mark.parametrize("block", [3, 64, 1 << 19])
+def test_separator_scan_counts_tokens(spark, monkeypatch, block):
+    from lodestrata.llm import separator_scan as S
+
+    monkeypatch.setattr(S, "RUN", 4)
+    texts = TEXTS if block > 3 else [t if t is None or len(t) < 100 else "long " * 40 for t in TEXTS]
+    docs = clashing(docs_of(spark, texts), "file", "block", "ordinal", "n_tokens").repartition(3)
+    encode = library_ids(False)
+    got = sorted(tuple(r) for r in S.counted_documents(docs, tokenizer(), 49407, block).collect())
+    assert got == [(i, len(encode(t))) for i, t in enumerate(texts)]
+    assert S.counted_documents(docs.limit(0), tokenizer(), 49407, block).count() == 0
+
+
+def test_separator_scan_of_an_unfinished_file(spark):
+    from lodestrata.llm.separator_scan import token_counts
+
+    blocks = [(0, 0, [9, 1, 1]), (0, 1, [1, 1, 1]), (0, 2, [1, 9, 1]), (1, 0, [2, 2, 2])]
+    df = spark.createDataFrame([(f, b, bytearray(np.array(x, "<u2").tobytes())) for f, b, x in blocks], "file int, block long, ids binary")
+    assert sorted(tuple(r) for r in token_counts(df, 9).collect()) == [(0, 0, 0), (0, 1, 6), (0, 2, 1), (1, 0, 3)]
+
+
+# --- op5 ---------------------------------------------------------------------------------------------------------
+
+
+def plain(text):
+    return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").encode().lower())
+
+
+def leaks(texts, items, window=13):
+    patterns = defaultdict(set)
+    for i, t in items:
+        w = plain(t)
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            patterns[tuple(w[k : k + window])].add(i)
+    out = []
+    for d, t in enumerate(texts):
+        w, hit, found = plain(t), set(), set()
+        for n in {len(p) for p in patterns}:
+            for k in range(len(w) - n + 1):
+                if p := patterns.get(tuple(w[k : k + n])):
+                    found |= p
+                    hit |= set(range(k, k + n))
+        found.discard(None)
+        digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        out.append((d, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return out
+
+
+@pytest.mark.parametrize("block", [400_000, 60])
+def test_leaks_equal_brute_force(spark, monkeypatch, block):
+    from lodestrata.llm import decontam as D
+
+    monkeypatch.setattr(D, "BLOCK_WORDS", block)
+    rng = random.Random(block)
+    items = [(i, " ".join(words(rng, rng.choice([1, 2, 3, 5, 12, 13, 14, 40]), 12))) for i in range(20)]
+    items += [(20, None), (21, ""), (22, "..."), (None, "null id words"), (3, items[4][1]), (3, items[3][1])]
+    texts = [None, "", "!!"]
+    for _ in range(60):
+        w = words(rng, rng.randrange(1, 400), 40)
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = rng.choice(items[:20])[1].upper().split()
+        texts.append(rng.choice([" ", ", ", "\n-"]).join(w))
+    texts.append(" ".join(words(rng, 50_000, 40)))
+    bench = clashing(spark.createDataFrame(items, "item_id long, text string"), "words", "spans")
+    docs = clashing(docs_of(spark, texts), "words", "spans", "items", "c0", "n_hit")
+    found = D.with_verdict(D.leaked_passages(docs, bench)).select("c0", "words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert sorted(tuple(r) for r in found.collect()) == leaks(texts, items)
+
+
+def test_no_benchmark_and_no_documents(spark):
+    from lodestrata.llm.decontam import leaked_passages, with_verdict
+
+    none = spark.createDataFrame([], "item_id long, text string")
+    row = with_verdict(leaked_passages(docs_of(spark, ["a b"]), none)).head()
+    assert (row.words, row.n_hit, row.n_items, row.contaminated) == (2, 0, 0, False)
+    assert leaked_passages(docs_of(spark, ["a"]).limit(0), none).count() == 0
+
+
+# --- op6 ---------------------------------------------------------------------------------------------------------
+
+
+def toxic_corpus(n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        w = words(rng, rng.randrange(20, 200), 500)
+        bad = rng.random() < 0.15
+        if bad:
+            for _ in range(rng.randrange(1, 4)):
+                w[rng.randrange(len(w))] = rng.choice(["idiot", "scum", "Moron,", "vilex" + rng.choice("abcdef")])
+        rows.append((" ".join(w), int(bad)))
+    return rows
+
+
+def test_toxicity_generalises_to_unseen_documents(spark):
+    from lodestrata.llm.toxicity import fold, toxicity_scores
+
+    rows = toxic_corpus(1500, 1)
+    docs = clashing(docs_of(spark, [t for t, _ in rows]), "score", "turn", "label", "c0")
+    labels = spark.createDataFrame([(i, 1, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    score = {r.c0: r.score for r in toxicity_scores(docs, labels, fold(F.col("doc_id")) % 4 != 2).collect()}
+    held = [i for i in range(len(rows)) if zlib.crc32(str(i).encode()) % 4 == 2]
+    caught = [score[i] >= 0.3 for i in held if rows[i][1]]
+    wrong = [score[i] >= 0.3 for i in held if not rows[i][1]]
+    assert np.mean(caught) > 0.9 and np.mean(wrong) < 0.02
+
+
+def test_toxicity_edges(spark):
+    from lodestrata.llm.toxicity import toxicity_scores
+
+    docs = docs_of(spark, [None, "", "!!", "plain words here", "plain words here"])
+    labels = spark.createDataFrame([(0, None), (None, 1), (3, 0), (3, 1)], "doc_id long, toxic int")
+    rows = toxicity_scores(docs, labels).collect()
+    assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
+    assert {r.score for r in toxicity_scores(docs, labels.limit(0)).collect()} == {0.0}
+    assert toxicity_scores(docs.limit(0), labels).count() == 0
+
+
+def test_scores_of_a_batch_do_not_cross_documents(spark):
+    from lodestrata.llm.toxicity import toxicity_scores
+
+    rows = toxic_corpus(400, 2)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    docs = docs_of(spark, [t for t, _ in rows])
+    together = {r.c0: r.score for r in toxicity_scores(docs.coalesce(1), labels).collect()}
+    apart = {r.c0: r.score for r in toxicity_scores(docs.repartition(50), labels).collect()}
+    assert together == pytest.approx(apart)
+
+
+# --- op8 ---------------------------------------------------------------------------------------------------------
+
+
+def test_targets_share_the_excess():
+    from lodestrata.llm.curriculum import targets
+
+    for sizes, weights in (([100, 10, 1000], [3, 1, 2]), ([1, 1, 1, 1], [3, 1, 2, 3]), ([0, 5], [3, 1]), ([], []), ([0], [1]), ([7, 7], [1, 1000])):
+        got = targets(sizes, weights)
+        assert sum(got) == pytest.approx(1.5 * sum(sizes)) and all(g <= 2 * s + 1e-9 for g, s in zip(got, sizes, strict=True))
+        free = [g / w for g, s, w in zip(got, sizes, weights, strict=True) if g < 2 * s - 1e-9]
+        capped = [g / w for g, s, w in zip(got, sizes, weights, strict=True) if g >= 2 * s - 1e-9]
+        assert not free or (max(free) == pytest.approx(min(free)) and all(c <= min(free) + 1e-9 for c in capped))
+
+
+def test_mix_meets_its_targets(spark):
+    from lodestrata.llm.curriculum import mixed_documents, planned
+
+    rng = random.Random(8)
+    texts = [" ".join(words(rng, rng.randrange(0, 60))) for _ in range(500)] + [None, "", " ".join(words(rng, 4000))]
+    sources = [rng.choice(["a", "a", "a", "B", "é", None]) for _ in texts]
+    docs = clashing(docs_of(spark, texts, sources), "size", "target", "start", "turn", "bucket")
+    rows = planned(docs, carry=["source"]).collect()
+    sizes = {i: len((t or "").split()) for i, t in enumerate(texts)}
+    assert sorted((r.doc_id, r["size"]) for r in rows) == sorted(sizes.items())
+    by = defaultdict(list)
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r["size"] and r.source_size == sum(sizes[i] for i, s in enumerate(sources) if s == r.c0)
+        by[r.c0].append(r)
+    for group in by.values():
+        assert sum(r.taken for r in group) == math.floor(group[0].target)
+        spans = sorted((r.start, r.start + r["size"]) for r in group)
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+    mix = mixed_documents(docs).collect()
+    assert sum(len(r.text.split()) for r in mix) == sum(r.taken for r in rows)
+    assert all(texts[r.doc_id].startswith(r.text) for r in mix)
+    assert mixed_documents(docs).columns == docs.columns
+    assert sorted(map(tuple, planned(docs.repartition(7)).collect())) == sorted(map(tuple, planned(docs).collect()))
+
+
+def test_mix_of_nothing(spark):
+    from lodestrata.llm.curriculum import mixed_documents, planned
+
+    assert planned(docs_of(spark, ["a"]).limit(0)).count() == 0
+    assert [r.taken for r in planned(docs_of(spark, [None, ""])).collect()] == [0, 0]
+    assert mixed_documents(docs_of(spark, [None, ""])).count() == 0
+
+
+def test_positions_follow_the_schedule(spark):
+    from lodestrata.llm.curriculum import position
+
+    for tilt in (0.5, 0.0, -0.5):
+        for share in (0.0, 0.1, 0.5, 0.9, 1.0):
+            t = spark.range(1).select(position(F.lit(share * 100), F.lit(0), F.lit(100.0), F.lit(tilt))).head()[0]
+            assert (1 - tilt) * t + tilt * t * t == pytest.approx(share)
+
+
+# --- op9 ---------------------------------------------------------------------------------------------------------
+
+PAGES = "page_id long, url string, html string"
+
+
+def article(body):
+    return f"<html><head><title>T</title></head><body><header>H</header><nav><a>m</a></nav><div class='teaser'>Our new site &amp; more</div><article>{body}</article><div id='comments'><p>first!</p></div><footer>f</footer></body></html>"
+
+
+def test_templates_go_and_articles_stay(spark):
+    from lodestrata.llm.html_templates import main_texts
+
+    rows = [(i, f"http://h.org/{i}", f"<body><div><p>Read all our stories</p></div><p>Story {i} tells\n of <b>things</b></p><div><span>Join {'us'}</span></div></body>") for i in range(20)]
+    rows += [(100, "http://h.org/a", article("<h1>A</h1><p>x &lt; y")), (101, None, None), (102, "bad", ""), (103, "http://h.org/b", "<p>cut <a href='")]
+    rows += [(200 + i, f"http://copies.org/{i}", "<p>the same text on copies of one page</p>") for i in range(30)]
+    df = clashing(spark.createDataFrame(rows, PAGES), "text", "host", "gone", "n_chars")
+    got = {r.page_id: r.text for r in main_texts(df).collect()}
+    assert all(got[i] == f"Story {i} tells of things" for i in range(20))
+    assert got[100] == "A\nx < y" and got[101] == got[102] == "" and got[103] == "cut"
+    assert all(got[200 + i] == "the same text on copies of one page" for i in range(30))
+    assert main_texts(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<p>a<p>b<li>c<li>d<script>if(a<b){}</script> e", "a\nb\nc\nd e"), ("x < y & z", "x < y & z"), ("<title>t</title>hello <i>wor</i>ld<table><tr><td>1<td>2</table>", "hello world\n1\n2"), ("<nav>a", ""),
+        ("<div><p>x</div>y<!-- c", "x\ny"), ("<article><p>one<br>two&nbsp; three</p><form>q</form><aside>s</aside></article>tail", "one two three"), ("<main><p>m</p><div class='cookie-notice'>c</div></main><p>o</p>", "m"),
+        ('<p title="a > b">t</p>', "t"), ("<p>a</p><div style='display: none'>h</div><div hidden>i</div>", "a"), ("<p>&#x41;&#66;&copy;&unknown;</p>", "AB©&unknown;"), ("<svg><text>n</text></svg><p>y", "y"),
+        ("<article><header><h1>T</h1></header><p>b</p><footer>f</footer></article>", "T\nb"), ("<div " + "<b>" * 3000 + "deep", "deep"), ("<pre>a\n  b</pre>", "a b"), ("</p></div>x", "x"), ("<article>a<article class='comment'>c</article></article><article>b</article>", "a\nb"),
+    ],
+)
+def test_single_pages(html, text):
+    from lodestrata.llm.html_templates import Page
+
+    assert Page(html).text() == text
+
+
+# --- op10 --------------------------------------------------------------------------------------------------------
+
+
+def base_spans(text):
+    text = text or ""
+    word = "(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    found = [(m.start(), 0, m.end()) for m in re.finditer(word + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[1]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{['assign', 'access', 'hex'][k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def test_secret_spans_equal_brute_force(spark):
+    from lodestrata.llm.secrets import digests, found_secrets
+
+    rng = random.Random(4)
+    pieces = ["password: ", "Api_Key='", "token=", "secret\"= ", "AKIA", "ABCDEF123456", "0123456789abcdef" * 2, "deadbeef", "🙂", "é ", " ", "\n", "x=y", "token=secret=abcdefgh12", "eyJhbGciOiJI.eyJzdWIiOiIx.abc", "eyJhbGciOiJIUzI.eyJzdWIiOiIxMjM.sig", "pg://u:hunter22@h", "ſecret=abcdefghij"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(25))) for _ in range(150)] + [None, "", "password=" + "a" * 9, "AKIA" + "B" * 12, "token=abcdefgh " * 300]
+    docs = clashing(docs_of(spark, texts), "hash", "row", "span", "spans", "owner", "repository")
+    for r in digests(found_secrets(docs)).collect():
+        expected = base_spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(expected.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [expected.count(k) for k in ("assign", "access", "hex")]
+        assert set(filter(None, expected.split(","))) <= set(r.spans.split(","))
+
+
+def test_copied_examples_are_told_from_owned_credentials(spark):
+    from lodestrata.llm.secrets import digests, found_secrets
+
+    own, copied = "x glpat-ABCDEFGHIJKLMNOPQRST y", "x glpat-EXAMPLEEXAMPLEEXAMPL y"
+    texts = [copied] * 40 + [own, own, None, ""]
+    rows = {r.doc_id: r for r in digests(found_secrets(docs_of(spark, texts, [f"s{i % 5}" for i in range(40)] + ["s1"] * 4))).collect()}
+    assert rows[40].spans == rows[41].spans == "prefixed:2:28" and rows[40].n_live == 1
+    assert all(rows[i].spans == "" and rows[i].n_example == 1 for i in range(40))
+    assert found_secrets(docs_of(spark, texts).limit(0)).count() == 0
+
+
+def test_secret_plan_runs_no_python(spark):
+    from lodestrata.llm.secrets import digests, found_secrets
+
+    plan = digests(found_secrets(docs_of(spark, ["token=abcdefgh1"])))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

@@ -1,0 +1,50 @@
+"""The pipeline's stages on a small corpus with planted cases."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+
+@pytest.fixture
+def corpus(spark, tmp_path):
+    rng = random.Random(0)
+
+    def text(n):
+        return " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+
+    clean = [text(rng.randrange(40, 200)) for _ in range(300)]
+    toxic = [t + " idiot scum" for t in (text(60) for _ in range(60))]
+    bench = [text(40) for _ in range(5)]
+    leaked = [text(20) + " " + b + " " + text(20) for b in bench]
+    copies = [clean[0], clean[1] + " extra"]
+    texts = clean + toxic + leaked + copies
+    rows = [(i, t, "en", f"s{i % 4}", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(300 <= i < 360)) for i in range(0, 360, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(list(enumerate(bench)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_stages_catch_planted_cases_and_keep_clean_documents(spark, corpus):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, corpus).cache()
+        assert docs.columns == columns
+        kept[name] = {r.doc_id for r in docs.collect()}
+    clean = set(range(300))
+    assert not kept["toxicity"] & set(range(300, 360)) and clean <= kept["toxicity"]
+    assert not kept["near_duplicates"] & {365, 366} and clean <= kept["near_duplicates"]
+    assert not kept["decontamination"] & set(range(360, 365)) and clean <= kept["decontamination"]
+    assert kept["mixing"] <= kept["decontamination"]
+
+
+def test_run_lists_every_document_of_the_mix(spark, corpus):
+    import corpus_pipeline as P
+
+    rows = sorted((r.start, r.n_tokens) for r in P.run(spark, corpus).collect())
+    assert rows and all(a[0] + a[1] == b[0] for a, b in zip(rows, rows[1:], strict=False))
