@@ -288,7 +288,7 @@ def validate_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT path, CASE ext WHEN 'jpg' THEN 1 WHEN 'png' THEN 2 ELSE 3 END AS ext_rank FROM (
+    SELECT path, (CASE ext WHEN 'jpg' THEN 1 WHEN 'png' THEN 2 ELSE 3 END)::BIGINT AS ext_rank FROM (
         SELECT 'img/' || page_id || '.' || ext AS path, ext FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'jpg' WHEN 1 THEN 'png' WHEN 2 THEN 'webp' ELSE 'jpeg' END AS ext FROM pages)
     ) WHERE ext <> 'jpeg'
 """)

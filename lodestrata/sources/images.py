@@ -29,7 +29,8 @@ def list_images(spark: SparkSession, root: str) -> DataFrame:
 def decode_images(spark: SparkSession, root: str) -> DataFrame:
     """image_path, width, height of decoded images; -1 for a file that can't be decoded."""
     image = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(root)
-    return image.select(F.col("image.origin").alias("image_path"), F.col("image.width").alias("width"), F.col("image.height").alias("height"))
+    origin = F.regexp_replace("image.origin", "^file:/+", "file:/")  # as listings spell it
+    return image.select(origin.alias("image_path"), F.col("image.width").alias("width"), F.col("image.height").alias("height"))
 
 
 def read_sidecars(spark: SparkSession, root: str) -> DataFrame:
