@@ -18,8 +18,15 @@ Batch = Iterator[pd.DataFrame]
 LOG = logging.getLogger(__name__)
 
 
-def apply_model(df: DataFrame, factory: Callable[[], Callable[[pd.Series], list]], source: str, target: str, kind: str, batch: int = 64) -> DataFrame:
-    """Adds ``target``, the model's result for ``source``, in batches of ``batch`` rows."""
+def gpu_profile(gpus: float = 1.0, cores: int = 4):
+    """A resource profile for stages that need a GPU; without it a model runs on the default resources."""
+    from pyspark.resource import ExecutorResourceRequests, ResourceProfileBuilder, TaskResourceRequests
+
+    return ResourceProfileBuilder().require(ExecutorResourceRequests().cores(cores).resource("gpu", max(1, int(gpus)))).require(TaskResourceRequests().cpus(1).resource("gpu", gpus)).build
+
+
+def apply_model(df: DataFrame, factory: Callable[[], Callable[[pd.Series], list]], source: str, target: str, kind: str, batch: int = 64, profile=None) -> DataFrame:
+    """Adds ``target``, the model's result for ``source``, in batches of ``batch`` rows; ``profile`` asks for resources."""
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), f"`{target}` {kind}"])
 
     def run(frames: Batch) -> Batch:
@@ -38,7 +45,7 @@ def apply_model(df: DataFrame, factory: Callable[[], Callable[[pd.Series], list]
                             out.append(None)
             yield frame.assign(**{target: pd.Series(out, index=frame.index, dtype=object)})
 
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema, profile=profile)
 
 
 def with_fallback(*factories: Callable[[], Callable]) -> Callable[[], Callable]:
@@ -86,3 +93,18 @@ def stub_unsafe_scores() -> Callable[[pd.Series], list]:
 def latent_to_pixels(latent: np.ndarray, scale: float, decode: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Undo the scale, decode, and clip to [0, 1]."""
     return np.clip(decode(latent / scale) * 0.5 + 0.5, 0, 1)
+
+
+def reconstruction_errors(latents: DataFrame, scale: float, decode: Callable[[np.ndarray], np.ndarray], encode: Callable[[np.ndarray], np.ndarray], shape: tuple[int, ...] = (4, 32, 32), n: int = 10, seed: int = 42) -> DataFrame:
+    """image_id and error of a sample: how far the encoding of a decoded latent is from it."""
+    from lodestrata.operators.sampling import exact_sample
+
+    def run(frames: Batch) -> Batch:
+        for frame in frames:
+            errors = []
+            for data in frame["latent"]:
+                latent = np.frombuffer(data, np.float16).astype(np.float64).reshape(shape)
+                errors.append(float(np.abs(encode(latent_to_pixels(latent, scale, decode)) * scale - latent).mean()))
+            yield pd.DataFrame({"image_id": frame["image_id"], "error": errors})
+
+    return exact_sample(latents.select("image_id", "latent"), n, "image_id", seed).mapInPandas(run, "image_id string, error double")

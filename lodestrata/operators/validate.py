@@ -60,3 +60,12 @@ def imbalance(df: DataFrame, cluster: str = "cluster_id", least: float = 0.05) -
     from lodestrata.operators.quality import cluster_fractions
 
     return cluster_fractions(df, cluster).where(F.col("fraction") < least)
+
+
+def check_shards(health: DataFrame, manifest: dict | None) -> None:
+    """Raise unless there is a manifest and all its shards are there with content, and no others."""
+    if not manifest:
+        raise ValidationError("no manifest")
+    bad = {r["state"]: r["n"] for r in health.where("state <> 'ok'").groupBy("state").agg(F.count("*").alias("n")).collect()}
+    if bad or not health.head(1):
+        raise ValidationError(f"shards are not in order: {bad or 'none'}")

@@ -19,6 +19,7 @@ from lodestrata.config import CurationConfig, load_config
 from lodestrata.functions.hashing import bucket_of, perceptual_hash
 from lodestrata.functions.text import path_stem, strip_caption
 from lodestrata.functions.vectors import l2_normalised
+from lodestrata.logs import stage_logger
 from lodestrata.operators import cluster as C
 from lodestrata.operators import models as M
 from lodestrata.operators import quality as Q
@@ -26,7 +27,7 @@ from lodestrata.operators import validate as V
 from lodestrata.operators.dedup import greedy_dedup
 from lodestrata.operators.filters import reject_reason, unsafe
 from lodestrata.operators.joins import attach, missing, require_all
-from lodestrata.operators.manifest import build_manifest, quality_report, write_json
+from lodestrata.operators.manifest import build_manifest, quality_report, shard_health, write_json
 from lodestrata.operators.normalize import with_sidecar
 from lodestrata.operators.shards import assign_shards, metadata_json
 from lodestrata.sources.arrays import export_npy
@@ -162,13 +163,18 @@ def shard(run: Run) -> dict:
     rows = attach(attach(numbered, run.table("captioned"), "image_path", "synthetic_caption", "row_id"), run.table("captioned"), "image_path", "clip_emb", "row_id")
     rows = rows.join(latents.select("image_path", "latent"), "image_path")
     samples = rows.select("cluster_id", "shard", "image_id", "latent", "clip_emb", F.col("synthetic_caption").alias("caption"), metadata_json().alias("metadata"))
-    written = write_tars(samples, run.path("expert_shards")).collect()
+    written = write_tars(samples, run.path("expert_shards"), clean=c.clean_shards).collect()
     os.makedirs(run.path("router_training"), exist_ok=True)
     export_npy(clustered.withColumn("label", F.col("cluster_id")), run.path("router_training/cluster_labels.npy"), "label", "row_id", "int32", ())
     export_npy(clustered, run.path("router_training/dinov2_embeddings.npy"), "embedding", "row_id", "float16", (c.embedding_dim,))
     export_npy(rows, run.path("router_training/latents.npy"), "latent", "row_id", "float16", (4, 32, 32), packed=True)
     manifest = build_manifest(c, Q.cluster_sizes(clustered), {r["path"]: f"sha256:{r['sha256']}" for r in written}, read_document(run.spark, run.path("cluster_quality.json")), {"total_images": clustered.count()})
     write_json(run.path("pipeline_manifest.json"), manifest)
+    root = run.path("expert_shards")
+    found = [(os.path.relpath(os.path.join(d, n), root), os.path.getsize(os.path.join(d, n))) for d, _, names in os.walk(root) for n in names if n.endswith(".tar")]
+    listed = run.spark.createDataFrame([(p,) for p in manifest["shard_checksums"]], "path string")
+    if c.clean_shards:
+        V.check_shards(shard_health(listed, run.spark.createDataFrame(found, "path string, size long")), manifest)
     return {"shards": len(written), "samples": sum(r["n"] for r in written), "tag": manifest["tag"]}
 
 
@@ -189,6 +195,7 @@ def run_stages(run: Run, numbers: list[int]) -> dict:
     metrics, began = {}, time.time()
     for n in numbers:
         name, stage = STAGES[n]
+        stage_logger(name)
         at = time.time()
         metrics[name] = stage(run) | {"elapsed_seconds": round(time.time() - at, 1)}
         LOG.info("stage %d %s: %s", n, name, metrics[name])

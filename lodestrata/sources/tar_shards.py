@@ -21,13 +21,14 @@ def _member(archive: tarfile.TarFile, name: str, data: bytes) -> None:
     archive.addfile(info, io.BytesIO(data))
 
 
-def write_tars(samples: DataFrame, root: str, key: str = "image_id") -> DataFrame:
+def write_tars(samples: DataFrame, root: str, key: str = "image_id", clean: bool = True) -> DataFrame:
     """Write ``samples`` (cluster_id, shard, image_id, latent, clip_emb, caption, metadata) below ``root``.
 
     Rows of a shard stream through one task in key order; shards of a cluster go to different
     tasks.  ``root`` must be on storage that tasks and driver share.  Each shard is written under a name of the
     attempt and renamed, so a repeated task replaces it whole; the old root, with shards of clusters that
-    are empty now, goes only when all are written.  Returns path, n, sha256 (small: one row for each shard).
+    are empty now, goes only when all are written (``clean``; else shards of other names stay).  Returns
+    path, n, sha256 (small: one row for each shard).
     """
     staging = f"{root.rstrip('/')}.{uuid.uuid4().hex}"
     os.makedirs(staging)
@@ -67,6 +68,14 @@ def write_tars(samples: DataFrame, root: str, key: str = "image_id") -> DataFram
     rows = samples.select("cluster_id", "shard", F.col(key).alias("key"), "latent", "clip_emb", "caption", "metadata")
     ordered = rows.repartition("cluster_id", "shard").sortWithinPartitions("cluster_id", "shard", "key")
     written = ordered.mapInArrow(run, "path string, n long, sha256 string").collect()
+    if os.path.isdir(root) and not clean:
+        new = {path for path, _, _ in written}
+        for folder, _, names in os.walk(root):
+            for name in names:
+                path = os.path.relpath(os.path.join(folder, name), root)
+                if path not in new:
+                    os.makedirs(os.path.dirname(f"{staging}/{path}"), exist_ok=True)
+                    os.replace(f"{root}/{path}", f"{staging}/{path}")
     if os.path.isdir(root):
         shutil.rmtree(root)
     os.rename(staging, root)

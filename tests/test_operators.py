@@ -225,3 +225,46 @@ def test_config(tmp_path):
         from_mapping({"a": 1}, ("a", "b"))
     with pytest.raises(ConfigError):
         from_mapping({"num_clusters": "many"})
+
+
+def test_encoder_input_and_shapes():
+    from lodestrata.functions.pixels import checked_shape, encoder_input, resized, storage_mb
+
+    flat = np.full((30, 50, 3), 255, np.uint8)
+    assert encoder_input(flat, 16).shape == (3, 16, 16) and np.allclose(encoder_input(flat, 16), 1)
+    assert np.allclose(resized(np.arange(4.0).reshape(2, 2, 1), 2, 2)[..., 0], [[0, 1], [2, 3]])
+    assert checked_shape(np.zeros((1, 4, 2)), (4, 2)).shape == (4, 2)
+    with pytest.raises(ValueError):
+        checked_shape(np.zeros((2, 4, 2)), (4, 2))
+    assert round(storage_mb(8994, 4 * 32 * 32), 1) == 70.3
+
+
+def test_reconstructions_are_measured(spark):
+    latents = spark.createDataFrame([(f"i{k}", bytearray(np.full((4, 32, 32), k, np.float16).tobytes())) for k in range(12)], "image_id string, latent binary")
+    rows = M.reconstruction_errors(latents, 1.0, lambda x: x * 0, lambda x: np.zeros((4, 32, 32)), n=5).collect()
+    assert len(rows) == 5 and all(r.error == float(r.image_id[1:]) for r in rows)
+
+
+def test_viewer(spark):
+    from lodestrata.operators.viewer import entry, entry_filter, overview, page
+
+    df = spark.createDataFrame([(i, i % 2, float(i), 0.5, "" if i % 3 else "u", None) for i in range(10)], "row_id long, cluster_id int, aesthetic_score double, cluster_distance double, url string, caption string")
+    assert tuple(overview(df).head()) == (10, 2, 5, 5)
+    assert [r.row_id for r in page(df.where(entry_filter(2, 0.5, False, False)), 4, 3).collect()] == [5, 7, 8]
+    assert entry(df, 3).head().row_id == 3
+
+
+def test_log_prefix_is_not_doubled(tmp_path):
+    from lodestrata.logs import stage_logger
+
+    log = stage_logger("filter", str(tmp_path / "log"))
+    log.info("done")
+    assert (tmp_path / "log").read_text().count("[filter +") == 1
+
+
+def test_shard_check(spark):
+    ok = spark.createDataFrame([("a", "ok")], "path string, state string")
+    V.check_shards(ok, {"x": 1})
+    for health, manifest in ((ok, None), (ok.limit(0), {"x": 1}), (ok.withColumn("state", F.lit("extra")), {"x": 1})):
+        with pytest.raises(V.ValidationError):
+            V.check_shards(health, manifest)

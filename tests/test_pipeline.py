@@ -123,3 +123,24 @@ def test_backoff():
     assert waits == [1.0, 2.0, 3.0]
     with pytest.raises(OSError):
         with_backoff(lambda: (_ for _ in ()).throw(OSError), 2, 1.0, 3.0, waits.append)
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_index_is_kept_by_its_settings(spark, tmp_path, streaming):
+    from lodestrata.sources.index import load_index
+
+    spark.range(50).select(F.concat(F.lit("u"), "id").alias("url"), F.lit("c").alias("caption"), (F.col("id") % 10).cast("string").alias("aesthetic_score")).write.parquet(str(tmp_path / "index"))
+    config = CurationConfig(work_dir=str(tmp_path), index_path=str(tmp_path / "index"), num_samples=10, oversample_factor=1.5, min_aesthetic_score=5.0)
+    first = sorted(map(tuple, load_index(spark, config, streaming).collect()))
+    assert len(first) == 15 and all(r[2] >= 5 for r in first)
+    assert sorted(map(tuple, load_index(spark, config, streaming).collect())) == first
+    assert load_index(spark, CurationConfig(**{**config.__dict__, "num_samples": 20}), streaming).count() == 25
+
+
+def test_shards_of_other_names_may_stay(spark, tmp_path):
+    df = spark.createDataFrame([(0, 0, "k", bytearray(b"l"), bytearray(b"c"), "cap", "{}")], "cluster_id int, shard long, image_id string, latent binary, clip_emb binary, caption string, metadata string")
+    old = tmp_path / "s" / "cluster_9"
+    old.mkdir(parents=True)
+    (old / "shard-0000.tar").write_bytes(b"old")
+    write_tars(df, str(tmp_path / "s"), clean=False)
+    assert (old / "shard-0000.tar").read_bytes() == b"old" and (tmp_path / "s" / "cluster_0" / "shard-0000.tar").exists()
