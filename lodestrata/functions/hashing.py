@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,26 +33,35 @@ def bucket_of(first_word: Column, bits: int, word_bits: int = 64) -> Column:
 
 
 def simhash(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """A 64-bit similarity hash of lower-cased words, as two 32-bit words ``hi`` and ``lo``.
+    """A 64-bit similarity hash of lower-cased words, as two 32-bit words ``hi`` and ``lo``; no row for a text without words.
 
-    Words are counted for each document first, so every distinct word is hashed once.
+    Bit b is set if more than half of the words' digests have it.  Each text is hashed where it
+    is read: exploding words would shuffle the whole corpus.
     """
-    words = docs.select(key, F.explode(F.split(F.lower(F.col(text)), r"\s+")).alias("word")).where("word <> ''")
-    words = words.groupBy(key, "word").agg(F.count("*").alias("n")).withColumn("h", F.md5(F.col("word").cast("binary")))
-    words = words.select(key, "n", *[F.conv(F.substring("h", at, 8), 16, 10).cast("long").alias(name) for name, at in (("hi", 1), ("lo", 9))])
-
-    def share(word: str, bit: int) -> Column:
-        return F.sum(F.when(F.shiftright(F.col(word), bit).bitwiseAND(1) == 1, F.col("n")).otherwise(0))
-
-    sums = words.groupBy(key).agg(F.sum("n").alias("total"), *[share(w, b).alias(f"{w}{b}") for w in ("hi", "lo") for b in range(32)])
-
-    def word(name: str) -> Column:
-        out = F.lit(0).cast("long")
-        for b in range(32):
-            out = out + F.when(2 * F.col(f"{name}{b}") > F.col("total"), F.lit(1 << b)).otherwise(0)
-        return out
-
-    return sums.select(key, word("hi").alias("hi"), word("lo").alias("lo"))
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                lists = [t.split() if t else [] for t in batch.column(1).cast(pa.binary()).to_pylist()]
+                counts = np.array([len(x) for x in lists])
+                some = np.flatnonzero(counts)
+                place: dict[bytes, int] = {}
+                ids = np.array([place.setdefault(w, len(place)) for x in lists for w in x], np.int64)
+                digests = np.frombuffer(b"".join(hashlib.md5(w).digest()[:8] for w in place), ">u8")
+                words = []
+                for high in (32, 0):
+                    out = np.zeros(len(some), np.int64)
+                    for b in range(32):
+                        bit = ((digests >> np.uint64(high + b)) & np.uint64(1)).astype(np.int64)
+                        if len(some):
+                            sums = np.add.reduceat(bit[ids], np.concatenate([[0], np.cumsum(counts[some])[:-1]]))
+                            out |= (2 * sums > counts[some]).astype(np.int64) << b
+                    words.append(pa.array(out))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), *words], names=[key, "hi", "lo"])
+
+    return docs.select(key, F.lower(F.col(text)).alias(text)).mapInArrow(run, f"{key} {kind}, hi long, lo long")
 
 
 def dct_hash(gray: np.ndarray, size: int = 16) -> list[int]:

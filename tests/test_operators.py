@@ -268,3 +268,14 @@ def test_shard_check(spark):
     for health, manifest in ((ok, None), (ok.limit(0), {"x": 1}), (ok.withColumn("state", F.lit("extra")), {"x": 1})):
         with pytest.raises(V.ValidationError):
             V.check_shards(health, manifest)
+
+
+def test_simhash_of_edge_texts(spark):
+    from lodestrata.functions.hashing import simhash
+
+    df = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "One one TWO"), (5, "one ONE two"), (6, "x " * 50_000)], "doc_id long, text string")
+    rows = {r.doc_id: (r.hi, r.lo) for r in simhash(df).collect()}
+    assert set(rows) == {4, 5, 6} and rows[4] == rows[5]
+    digest = int.from_bytes(__import__("hashlib").md5(b"x").digest()[:8], "big")
+    assert rows[6] == (digest >> 32, digest & 0xFFFFFFFF)
+    assert simhash(df.limit(0)).count() == 0
