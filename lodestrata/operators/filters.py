@@ -13,16 +13,18 @@ from lodestrata.functions.text import aspect_ratio
 
 # Labels whose scores make an image unsafe.
 UNSAFE_LABELS = ("nsfw", "porn", "sexy", "hentai")
+# Reasons to reject, in the order they are tried; a file that does not open fails its integrity.
+REASONS = ("file_integrity", "file_open_error", "resolution", "aspect_ratio", "aesthetic_score", "nsfw")
 
 
 def reject_reason(width: Column, height: Column, score: Column, min_resolution: int, max_ratio: float, min_score: float) -> Column:
     """The first reason to reject, or null.  A null score passes, unless its column is missing (pass 0 then)."""
     broken = F.coalesce((width <= 0) | (height <= 0), F.lit(True))
     return (
-        F.when(broken, "integrity_check_failed")
-        .when((width < min_resolution) | (height < min_resolution), "resolution_too_low")
+        F.when(broken, "file_integrity")
+        .when((width < min_resolution) | (height < min_resolution), "resolution")
         .when(aspect_ratio(width, height) > max_ratio, "aspect_ratio")
-        .when(F.coalesce(score < min_score, F.lit(False)), "aesthetic_score_too_low")
+        .when(F.coalesce(score < min_score, F.lit(False)), "aesthetic_score")
     )
 
 

@@ -11,7 +11,18 @@ from lodestrata.functions.text import first_present
 # The names under which indexes hold each field, in order of preference.
 URL_NAMES = ("URL", "url")
 CAPTION_NAMES = ("TEXT", "text", "caption", "description")
-SCORE_NAMES = ("AESTHETIC_SCORE", "aesthetic_score", "aesthetic", "AESTHETIC", "CLIP_SCORE", "clip_score")
+SCORE_NAMES = (
+    "AESTHETIC_SCORE",
+    "aesthetic_score",
+    "AESTHETICS_SCORE",
+    "aesthetics_score",
+    "LAION_AESTHETIC_SCORE",
+    "laion_aesthetic_score",
+    "CLIP_SCORE",
+    "clip_score",
+    "AESTHETIC",
+    "aesthetic",
+)
 
 
 def _positions(df: DataFrame) -> tuple[DataFrame, list[str]]:

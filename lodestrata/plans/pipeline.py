@@ -25,7 +25,7 @@ from lodestrata.operators import models as M
 from lodestrata.operators import quality as Q
 from lodestrata.operators import validate as V
 from lodestrata.operators.dedup import greedy_dedup
-from lodestrata.operators.filters import reject_reason, unsafe
+from lodestrata.operators.filters import reject_reason, rejection_counts, unsafe
 from lodestrata.operators.joins import attach, missing, require_all
 from lodestrata.operators.manifest import build_manifest, quality_report, shard_health, write_json
 from lodestrata.operators.normalize import with_sidecar
@@ -80,8 +80,14 @@ def filter_and_dedup(run: Run) -> dict:
     c = run.config
     sized = run.table("raw").join(decode_images(run.spark, c.image_dir), "image_path", "left")
     reasoned = sized.withColumn("reject_reason", reject_reason(F.col("width"), F.col("height"), F.col("aesthetic_score"), c.min_resolution, c.max_aspect_ratio, c.min_aesthetic_score))
-    kept = M.apply_model(reasoned.where("reject_reason is null"), M.stub_unsafe_scores, "image_path", "predictions", "array<struct<label:string,score:double>>", 32)
-    kept = kept.where(~unsafe(F.col("predictions"), c.nsfw_threshold)).drop("predictions", "reject_reason")
+    # The model sees survivors only: they are written first, so that its results are made once.
+    write_table(reasoned, run.path("cascade"))
+    reasoned = run.table("cascade")
+    scored = M.apply_model(reasoned.where("reject_reason is null"), M.stub_unsafe_scores, "image_path", "predictions", "array<struct<label:string,score:double>>", 32)
+    write_table(scored.withColumn("reject_reason", F.when(unsafe(F.col("predictions"), c.nsfw_threshold), "nsfw")).drop("predictions"), run.path("scored"))
+    scored = run.table("scored")
+    rejected = {r["reject_reason"]: r["n"] for r in rejection_counts(reasoned.select("reject_reason").unionByName(scored.select("reject_reason").where("reject_reason is not null"))).collect()}
+    kept = scored.where("reject_reason is null").drop("reject_reason")
     contents = run.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(c.image_dir).select(F.col("path").alias("image_path"), "content")
     hashed = kept.join(contents, "image_path").withColumn("hash", perceptual_hash(F.col("content"), c.phash_size)).drop("content")
     words = tuple(f"h{i}" for i in range(-(-c.phash_size * c.phash_size // 64)))
@@ -94,7 +100,7 @@ def filter_and_dedup(run: Run) -> dict:
     V.check_rows(run.table("filtered"), what="filtered table")
     V.check_no_nulls(run.table("filtered"), ["image_path"])
     n = flags.agg(F.count("*").alias("n"), F.count_if("is_duplicate").alias("d")).head()
-    return {"after_filter": n["n"], "duplicates": n["d"], "final": n["n"] - n["d"]}
+    return {"after_filter": n["n"], "duplicates": n["d"], "final": n["n"] - n["d"], "rejected": rejected}
 
 
 def caption(run: Run) -> dict:

@@ -116,8 +116,8 @@ def resolution_aspect_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _REASONED = f"""
-    SELECT event_id, CASE WHEN coalesce(width <= 0 OR height <= 0, true) THEN 'integrity_check_failed' WHEN width < 20 OR height < 20 THEN 'resolution_too_low'
-        WHEN greatest(width, height)::DOUBLE / greatest(least(width, height), 1) > 2.0 THEN 'aspect_ratio' WHEN coalesce(score < 30.0, false) THEN 'aesthetic_score_too_low' END AS reject_reason
+    SELECT event_id, CASE WHEN coalesce(width <= 0 OR height <= 0, true) THEN 'file_integrity' WHEN width < 20 OR height < 20 THEN 'resolution'
+        WHEN greatest(width, height)::DOUBLE / greatest(least(width, height), 1) > 2.0 THEN 'aspect_ratio' WHEN coalesce(score < 30.0, false) THEN 'aesthetic_score' END AS reject_reason
     FROM ({_MEASURED})
 """
 

@@ -71,8 +71,8 @@ def test_strip_caption(spark):
 
 @pytest.mark.parametrize(
     ("w", "h", "score", "reason"),
-    [(256, 256, 6.0, None), (255, 256, 6.0, "resolution_too_low"), (256, 512, 6.0, None), (256, 513, 6.0, "aspect_ratio"), (0, 0, 6.0, "integrity_check_failed"), (-1, -1, 1.0, "integrity_check_failed"), (None, None, 6.0, "integrity_check_failed"),
-     (300, 900, 1.0, "aspect_ratio"), (100, 900, 1.0, "resolution_too_low"), (300, 300, 5.9, "aesthetic_score_too_low"), (300, 300, None, None)],
+    [(256, 256, 6.0, None), (255, 256, 6.0, "resolution"), (256, 512, 6.0, None), (256, 513, 6.0, "aspect_ratio"), (0, 0, 6.0, "file_integrity"), (-1, -1, 1.0, "file_integrity"), (None, None, 6.0, "file_integrity"),
+     (300, 900, 1.0, "aspect_ratio"), (100, 900, 1.0, "resolution"), (300, 300, 5.9, "aesthetic_score"), (300, 300, None, None)],
 )
 def test_first_failing_reason(spark, w, h, score, reason):
     df = spark.createDataFrame([(w, h, score)], "w int, h int, s double")

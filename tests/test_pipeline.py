@@ -39,7 +39,7 @@ def test_whole_run_and_rerun(spark, images):
     config = CurationConfig(work_dir=str(work), image_dir=str(images / "images"), num_samples=30, min_resolution=32, min_aesthetic_score=5.0, num_clusters=3, kmeans_n_init=2, kmeans_max_iter=20, embedding_dim=8, shard_size=5)
     run = P.Run(spark, config)
     metrics = P.run_stages(run, [1, 2, 3, 4, 5, 6, 7])
-    assert metrics["ingest"]["downloaded"] == 25 and metrics["filter"]["final"] == 24
+    assert metrics["ingest"]["downloaded"] == 25 and metrics["filter"]["final"] == 24 and metrics["filter"]["rejected"] == {"file_integrity": 1}
     assert metrics["shard"]["samples"] == 24
     manifest = json.loads((work / "pipeline_manifest.json").read_text())
     tars = {p: hashlib.sha256((work / "expert_shards" / p).read_bytes()).hexdigest() for p in manifest["shard_checksums"]}
