@@ -8,6 +8,7 @@ a folder below the system's temporary folder is set.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -58,14 +59,39 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def arrow_map(df: DataFrame, run: Callable, ddl: str) -> DataFrame:
-    """mapInArrow with batches of a bounded size, which the session keeps from then on."""
+#: What this Python worker keeps between tasks, by the name of what needs it.
+CACHES: dict[str, dict] = {}
+
+
+def _trimmed(keep: str = "", clear: bool = False) -> None:
+    """Give memory back to the system; with ``clear``, also what tasks of other kinds have kept."""
+    for name, cache in CACHES.items():
+        if clear and name != keep:
+            cache.clear()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def arrow_map(df: DataFrame, run: Callable, ddl: str, keep: str = "") -> DataFrame:
+    """mapInArrow with batches of a bounded size, which the session keeps from then on.
+
+    Python workers are used again by other operators: a task starts without the caches of
+    other kinds than ``keep`` and gives free memory back when it ends.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _trimmed(keep, True)
+        yield from run(batches)
+        _trimmed()
+
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     spark = df.sparkSession
     now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
     if not 0 < now <= ARROW_BYTES:
         spark.conf.set(key, str(ARROW_BYTES))
-    return df.mapInArrow(run, ddl)
+    return df.mapInArrow(task, ddl)
 
 
 def column_bytes(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
@@ -122,7 +148,7 @@ def sized_batches(batches: Iterator[pa.RecordBatch], name: str, most: int = 1 <<
             at = to
 
 
-def scan_texts(docs: DataFrame, make: Callable[[], Callable], report: pa.Schema, ddl: str, carry: list[str] | None = None) -> DataFrame:
+def scan_texts(docs: DataFrame, make: Callable[[], Callable], report: pa.Schema, ddl: str, carry: list[str] | None = None, keep: str = "") -> DataFrame:
     """Map whole texts to the columns of ``report``, in one pass without a shuffle.
 
     ``make`` is called once in each task and returns a function of (texts as bytes, arrays of
@@ -140,4 +166,4 @@ def scan_texts(docs: DataFrame, make: Callable[[], Callable], report: pa.Schema,
             found = work(column_bytes(batch, "text"), kept)
             yield pa.RecordBatch.from_arrays([*kept, *found], names=[f"c{i}" for i in range(len(carry))] + report.names)
 
-    return arrow_map(inner, run, ", ".join([*kinds, ddl]))
+    return arrow_map(inner, run, ", ".join([*kinds, ddl]), keep)

@@ -15,12 +15,14 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
+from lodestrata.llm._common import CACHES
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task has one core
-KEPT_WORDS = 800_000
+KEPT_WORDS = 500_000
 KEPT_BYTES = 16 << 20
 #: Lower-case ASCII letters or letters from 0x80 on, then ASCII marks other than the apostrophe, which may start an ending.
 _LETTERS_MARKS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]+)\Z")
-_encoders: dict[tuple[str, bool], "Encoder"] = {}
+_encoders: dict[tuple[str, bool], "Encoder"] = CACHES.setdefault("encoder", {})
 
 
 def id_type(vocabulary: int) -> str:
@@ -57,7 +59,7 @@ class Encoder:
 
     def _ids(self, text: str, special: bool) -> np.ndarray:
         self.tokenizer.encode_special_tokens = not special
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def _learn(self, words: list[bytes]) -> None:
         """Words of letters only end at the first id that ends a word; so many of them can be one text."""

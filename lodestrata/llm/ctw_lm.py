@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm._common import Scratch, arrow_map, mixed, scan_texts, sized_batches
+from lodestrata.llm._common import CACHES, Scratch, arrow_map, mixed, scan_texts, sized_batches
 
 DEPTH = 5
 #: Byte that pads the context of a text's first bytes and ends it; no UTF-8 text holds it.
@@ -196,7 +196,7 @@ class Model:
 
 
 #: The model and word logarithms that this process made last, by the run's name.
-_made: dict[str, tuple] = {}
+_made: dict[str, tuple] = CACHES.setdefault("ctw", {})
 
 
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +208,6 @@ def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct runs of a task with their counts, merged as they come."""
-    _made.clear()  # a worker that scored before is free for counting
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = most = 0
 
@@ -231,7 +230,6 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    _made.clear()
     held: Counter[bytes] = Counter()
 
     def out() -> pa.RecordBatch:
@@ -350,7 +348,7 @@ def scored_texts(docs: DataFrame, learn_from: Column) -> DataFrame:
     del head
     model_of = spark.sparkContext.broadcast(train_tree(training, scratch))
     make, schema = _scorer(scratch.base, model_of, words_of)
-    first = scan_texts(docs, make, schema, "n_tokens long, n_known long, logs double, score double, tail array<binary>")
+    first = scan_texts(docs, make, schema, "n_tokens long, n_known long, logs double, score double, tail array<binary>", keep="ctw")
     first = scratch.keep(first.withColumn("row", F.monotonically_increasing_id()), "scored")
     words_of.destroy()
     model_of.destroy()

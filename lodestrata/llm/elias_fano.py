@@ -147,7 +147,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
     ordered = docs.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
-    arrow_map(ordered, _encoded(tokenizer, end_id), _FILES).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    arrow_map(ordered, _encoded(tokenizer, end_id), _FILES, "encoder").write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

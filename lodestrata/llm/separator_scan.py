@@ -57,7 +57,7 @@ def write_flat_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, bl
     at ends.  A null text is empty.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    flat = arrow_map(docs, _flat(tokenizer, end_id, block_ids), "file int, block long, ids binary, ordinal long, doc_ids array<bigint>")
+    flat = arrow_map(docs, _flat(tokenizer, end_id, block_ids), "file int, block long, ids binary, ordinal long, doc_ids array<bigint>", "encoder")
     flat.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 

@@ -104,7 +104,8 @@ def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shared = np.zeros(SIZE, np.int32)
     for _, at in rows:
         shared[at] += 1
-    rows = [(label, np.append(at[shared[at] >= MIN_DOCS], np.int32(SIZE))) for label, at in rows]
+    for i, (label, at) in enumerate(rows):  # in place: the features read are freed as the learned ones are made
+        rows[i] = (label, np.append(at[shared[at] >= MIN_DOCS], np.int32(SIZE)))
     model = Ftrl()
     for epoch in range(EPOCHS):
         for i in np.random.default_rng(epoch).permutation(len(rows)):
