@@ -250,6 +250,27 @@ def test_pruned_tree_is_still_a_distribution(spark, monkeypatch):
         assert (10 ** model.scores(every)).sum() == pytest.approx(1)
 
 
+def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    """op3 scores by all contexts of the training texts, however few of them are broadcast."""
+    from lodestrata.llm import ctw_lm as C
+    from lodestrata.llm.toxicity import fold
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefgh éß") for _ in range(rng.randrange(300))) for _ in range(60)] + [None, "", "zq" * 50]
+    docs, learn = docs_of(spark, texts), ~(fold(F.col("doc_id")) % 7 == 2)
+    codes, n = np.unique(C.run_codes([(t or "").encode() for i, t in enumerate(texts) if not fold7(i)]), return_counts=True)
+    runs = [(codes, n)]
+    for d in range(C.DEPTH - 1, -1, -1):
+        runs.insert(0, C._summed(runs[0][0] & np.uint64((1 << (8 * (d + 1))) - 1), runs[0][1]))
+    model = C.Model(C.weighted_tree(runs))
+    expected = [model.scores(C.run_codes([(t or "").encode()])).sum() for t in texts]
+    for most, chunk in ((1_000_000, 200_000), (2000, 500), (300, 1), (1, 500)):
+        monkeypatch.setattr(C, "MAX_RUNS", most)
+        monkeypatch.setattr(C, "CHUNK", chunk)
+        got = {r.doc_id: r.score for r in C.scored_texts(docs, learn).collect()}
+        assert [got[i] for i in range(len(texts))] == pytest.approx(expected, rel=1e-6)
+
+
 def test_scores_without_training(spark):
     from lodestrata.llm.ctw_lm import scored_texts
 
