@@ -50,10 +50,14 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode the mix into token files and list what they hold."""
+    """Encode the mix into token files, in training order, and list what they hold.
+
+    The training order is that of the rows in the written mix: its part files, and the rows in each.
+    """
     import public_tokenizers
 
-    return token_files_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    return token_files_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, order=order)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm._common import Scratch, arrow_map, sized_batches
@@ -135,18 +135,20 @@ def _encoded(path: str, end_id: int):
     return run
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
-    """Encode whole texts and write them in files below ``path``, in ascending doc_id order.
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, order: list[Column] | None = None) -> None:
+    """Encode whole texts and write them in files below ``path``, in ascending order of ``order`` (doc_id).
 
     Each file is a row of a Parquet table (part, file, first, n_ids, doc_ids, data), so that a
     lost or repeated task leaves no half-written file; ``data`` is the file.  Parts and files
-    are in order; ``first`` counts the ids of the part before the file.  Null doc_ids come
-    first; rows of one doc_id are ordered by their text.  A null text is empty: it has the end id alone.
+    are in order; ``first`` counts the ids of the part before the file.  Nulls come
+    first; rows of equal order are ordered by their text.  A null text is empty: it has the end id alone.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("tie", F.xxhash64("text"))
-    ordered = docs.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
+    order = [F.col("doc_id").cast("long")] if order is None else order
+    keys = [f"o{i}" for i in range(len(order))] + ["tie"]
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c.alias(k) for c, k in zip(order, keys, strict=False)]).withColumn("tie", F.xxhash64("text"))
+    ordered = docs.repartitionByRange(n, *keys).sortWithinPartitions(*keys, "text").select("doc_id", "text")
     arrow_map(ordered, _encoded(tokenizer, end_id), _FILES, "encoder").write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
@@ -179,8 +181,8 @@ def read_token_files(spark, path: str) -> DataFrame:
     return arrow_map(held, _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_files_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
+def token_files_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1, order: list[Column] | None = None) -> DataFrame:
     """Write the files into the scratch folder and read them again."""
     scratch = Scratch(docs.sparkSession, "elias-fano")
-    write_token_files(docs, scratch.path("files"), tokenizer, end_id)
+    write_token_files(docs, scratch.path("files"), tokenizer, end_id, order)
     return read_token_files(docs.sparkSession, scratch.path("files"))

@@ -48,3 +48,15 @@ def test_run_lists_every_document_of_the_mix(spark, corpus):
 
     rows = sorted((r.start, r.n_tokens) for r in P.run(spark, corpus).collect())
     assert rows and all(a[0] + a[1] == b[0] for a, b in zip(rows, rows[1:], strict=False))
+
+
+def test_token_files_follow_the_curriculum(spark, corpus):
+    import corpus_pipeline as P
+    from lodestrata.llm._common import Scratch
+
+    scratch = Scratch(spark, "order")
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").select(*P.COLUMNS)
+    planned = [r.doc_id for r in P.mixed(spark, docs, corpus).collect()]
+    mix = scratch.keep(P.mixed(spark, docs, corpus), "mix")
+    got = [r.doc_id for r in sorted(P.token_files(spark, mix, corpus).collect(), key=lambda r: r.start)]
+    assert got == planned and got != sorted(got) and len(got) > len(set(got))
