@@ -31,7 +31,7 @@ from lodestrata.operators.manifest import build_manifest, quality_report, shard_
 from lodestrata.operators.normalize import with_sidecar
 from lodestrata.operators.shards import assign_shards, metadata_json
 from lodestrata.sources.arrays import export_npy
-from lodestrata.sources.images import decode_images, list_images, read_sidecars, with_row_id
+from lodestrata.sources.images import decode_images, image_structs, list_images, read_sidecars, with_row_id
 from lodestrata.sources.tables import read_document, read_table, write_table
 from lodestrata.sources.tar_shards import write_tars
 
@@ -88,8 +88,9 @@ def filter_and_dedup(run: Run) -> dict:
     scored = run.table("scored")
     rejected = {r["reject_reason"]: r["n"] for r in rejection_counts(reasoned.select("reject_reason").unionByName(scored.select("reject_reason").where("reject_reason is not null"))).collect()}
     kept = scored.where("reject_reason is null").drop("reject_reason")
-    contents = run.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(c.image_dir).select(F.col("path").alias("image_path"), "content")
-    hashed = kept.join(contents, "image_path").withColumn("hash", perceptual_hash(F.col("content"), c.phash_size)).drop("content")
+    # Hashed where they are read: pixels are not shuffled.
+    hashes = image_structs(run.spark, c.image_dir).select("image_path", perceptual_hash(F.col("image"), c.phash_size).alias("hash"))
+    hashed = kept.join(hashes, "image_path")
     words = tuple(f"h{i}" for i in range(-(-c.phash_size * c.phash_size // 64)))
     for i, w in enumerate(words):
         hashed = hashed.withColumn(w, F.get("hash", F.lit(i)))

@@ -26,11 +26,16 @@ def list_images(spark: SparkSession, root: str) -> DataFrame:
     return ranked_paths(files.select("path", F.col("length").alias("size"))).withColumnRenamed("path", "image_path").orderBy("ext_rank", "image_path")
 
 
-def decode_images(spark: SparkSession, root: str) -> DataFrame:
-    """image_path, width, height of decoded images; -1 for a file that can't be decoded."""
+def image_structs(spark: SparkSession, root: str) -> DataFrame:
+    """image_path and image, Spark's struct of sizes and pixels; sizes are -1 for a file that can't be decoded."""
     image = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(root)
     origin = F.regexp_replace("image.origin", "^file:/+", "file:/")  # as listings spell it
-    return image.select(origin.alias("image_path"), F.col("image.width").alias("width"), F.col("image.height").alias("height"))
+    return image.select(origin.alias("image_path"), "image")
+
+
+def decode_images(spark: SparkSession, root: str) -> DataFrame:
+    """image_path, width, height of decoded images; -1 for a file that can't be decoded."""
+    return image_structs(spark, root).select("image_path", F.col("image.width").alias("width"), F.col("image.height").alias("height"))
 
 
 def read_sidecars(spark: SparkSession, root: str) -> DataFrame:

@@ -49,6 +49,18 @@ def test_whole_run_and_rerun(spark, images):
     assert again["caption"]["captioned"] == 24 and again["encode"]["latents"] == 24 and again["shard"]["tag"] == metrics["shard"]["tag"]
 
 
+def test_planted_duplicate_image_goes(spark, images):
+    """P12/J7: a copy under another name is found without any decoder package."""
+    root, work = images / "images" / "000", images / "work"
+    work.mkdir()
+    (root / "q.png").write_bytes((root / "p05.png").read_bytes())
+    config = CurationConfig(work_dir=str(work), image_dir=str(images / "images"), num_samples=30, min_resolution=32, min_aesthetic_score=5.0)
+    metrics = P.run_stages(P.Run(spark, config), [1, 2])
+    assert metrics["filter"]["after_filter"] == 25 and metrics["filter"]["duplicates"] == 1 and metrics["filter"]["final"] == 24
+    kept = {r.image_id for r in P.Run(spark, config).table("filtered").select("image_id").collect()}
+    assert len(kept & {"p05", "q"}) == 1
+
+
 def test_cli_selection(capsys):
     assert P.selected("7,2", 3) == [7, 2] and P.selected(None, 5) == [5, 6, 7]
     assert P.main(["--dry-run", "--stages", "2,1"]) == 0 and capsys.readouterr().out.split("\n")[:2] == ["2 filter", "1 ingest"]
