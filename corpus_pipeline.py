@@ -33,9 +33,16 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: that with the smallest doc_id."""
-    kept = near_duplicates(docs, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Keep one row of each group of near duplicates: that with the smallest doc_id, of equal ones that with the smallest digest of its text.
+
+    Rows are told apart by a number of their own, so repeated rows and null ids are copies like any others.
+    """
+    scratch = Scratch(spark, "near-duplicates")
+    rows = scratch.keep(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), percent=80).select(F.col("doc_id").alias("row"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", F.md5(F.col("text").cast("binary")), "row").alias("rank")
+    kept = found.join(rows.select("row", rank), "row").groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,3 +60,15 @@ def test_token_files_follow_the_curriculum(spark, corpus):
     mix = scratch.keep(P.mixed(spark, docs, corpus), "mix")
     got = [r.doc_id for r in sorted(P.token_files(spark, mix, corpus).collect(), key=lambda r: r.start)]
     assert got == planned and got != sorted(got) and len(got) > len(set(got))
+
+
+def test_one_row_of_each_near_duplicate_group_stays(spark):
+    """Repeated rows, null ids, and an id with two texts."""
+    import corpus_pipeline as P
+
+    rng = random.Random(3)
+    a, b, c, d = (" ".join(f"w{rng.randrange(3000)}" for _ in range(80)) for _ in range(4))
+    rows = [(1, a), (1, a), (2, a), (None, b), (None, b), (None, c), (3, c), (4, d), (4, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id, r.text) for r in P.without_near_duplicates(spark, docs, "").collect()), key=str)
+    assert kept == sorted([(1, a), (None, b), (3, c), (4, d)], key=str)
