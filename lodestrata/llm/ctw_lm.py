@@ -5,9 +5,10 @@ last d bytes, d from 0 to ``DEPTH``; a byte is eight binary decisions, so a node
 and a bit prefix.  A node's Krichevsky-Trofimov estimate of its counts a, b has the
 probability Pkt(a, b); its weighted probability is Pw = (Pkt + product of its longer contexts' Pw) / 2,
 and Pkt / (2 Pw) is how much its own estimate counts against those of longer contexts.
-The next bit is predicted by this mixture over all depths that have seen the prefix.  A
+The next bit is predicted by this mixture over all depths; a longer context that has not been
+seen yet has no counts, so it predicts one half and keeps the weight that its shorter ones leave it.  A
 text's score is the sum of log10 probabilities of its bytes (A-Z lower-cased) and of an end
-symbol, so scores are those of one distribution over all texts; divided by the bytes they
+symbol, so scores are those of one distribution over all texts; in bits, divided by the bytes, they
 give the code length.
 
 All contexts are in the model.  Those of more than ``SPLIT`` bytes are weighed in tasks, each with
@@ -97,7 +98,7 @@ class _Level:
 
 
 class Tree(NamedTuple):
-    """Runs, and the predictions of a one at all their nodes: each mixes its node's estimate with those of all shorter contexts."""
+    """Runs, and the predictions of a one at all their nodes, for a bit after which no longer context has been seen."""
 
     #: For each depth the sorted codes of its runs.
     codes: list[np.ndarray]
@@ -157,6 +158,8 @@ def _weigh(runs: list[tuple[np.ndarray, np.ndarray]], depth: int = 0, below: lis
             parents.append(np.searchsorted(levels[d - 1].keys, levels[d].keys & mask))
         own: list[np.ndarray] = [np.empty(0)] * len(levels)
         log_pw = below[bits] if below else levels[-1].log_kt
+        if below:
+            own[-1] = np.exp(half + levels[-1].log_kt - log_pw)
         for d in range(len(levels) - 2, -1, -1):
             deeper = np.bincount(parents[d], log_pw, len(levels[d].keys))
             log_pw = np.logaddexp(half + levels[d].log_kt, half + deeper)
@@ -168,7 +171,8 @@ def _weigh(runs: list[tuple[np.ndarray, np.ndarray]], depth: int = 0, below: lis
             done, left = done[at], left[at]
         ones = []
         for d, level in enumerate(levels):
-            ones.append((done + left * level.kt).astype(np.float32))
+            last = depth + d == DEPTH
+            ones.append((done + left * (level.kt if last else own[d] * level.kt + (1 - own[d]) * 0.5)).astype(np.float32))
             if d + 1 < len(levels):
                 done, left = (done + left * own[d] * level.kt)[parents[d]], (left * (1 - own[d]))[parents[d]]
         out.append(_Weighed(levels, ones, log_pw, done, left))
@@ -181,13 +185,13 @@ def _predicted(weighed: list[_Weighed], d: int, codes: np.ndarray) -> np.ndarray
 
 
 def weighted_tree(runs: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
-    """The tree of runs (sorted codes and counts) of the depths from 0 on."""
+    """The tree of runs (sorted codes and counts) of all depths from 0 on."""
     weighed = _weigh(runs)
     return Tree.of([(codes, _predicted(weighed, d, codes)) for d, (codes, _) in enumerate(runs)])
 
 
 def computed(tree: Tree, codes: np.ndarray) -> np.ndarray:
-    """log10 probability of the last byte of any runs: each bit by the longest context that has seen its prefix."""
+    """log10 probability of the last byte of any runs: each bit by the mixture at the longest context that has seen its prefix."""
     out = np.zeros(len(codes))
     for bits in range(8):
         down = np.uint64(8 - bits)
@@ -468,7 +472,7 @@ def train_tree(docs: DataFrame, scratch: Scratch) -> Tree | None:
 
 
 def _scorer(run: str, model_of, words_of):
-    schema = pa.schema([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.binary())), ("far", pa.list_(pa.int64()))])
+    schema = pa.schema([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.binary())), ("far", pa.list_(pa.int64())), ("n_bytes", pa.int64())])
 
     def make():
         if run not in _made:
@@ -503,7 +507,7 @@ def _scorer(run: str, model_of, words_of):
                 score = np.add.reduceat(values, starts) if texts else values
                 if len(places):
                     far = np.split(codes[places].view(np.int64), np.searchsorted(places, starts[1:]))
-            return [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs), pa.array(score), pa.array(tails, schema.field(4).type), pa.array(far, schema.field(5).type)]
+            return [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs), pa.array(score), pa.array(tails, schema.field(4).type), pa.array(far, schema.field(5).type), pa.array(list(map(len, texts)), pa.int64())]
 
         return work
 
@@ -513,11 +517,12 @@ def _scorer(run: str, model_of, words_of):
 def scored_texts(docs: DataFrame, learn_from: Column) -> DataFrame:
     """Scores of all documents under models learned from those of the condition ``learn_from``.
 
-    Columns: doc_id, n_tokens, n_known, train_tokens, base_score, score.  Tokens are the
+    Columns: doc_id, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte.  Tokens are the
     lower-cased words (runs without ASCII white space) and one end; ``n_known`` counts those that
-    occur in training texts.  ``base_score`` sums log10((c + 1) / (N + V)) over the tokens,
-    with their training counts c, N tokens and V distinct ones; it is null if nothing was
-    learned.  A null text is empty; its tokens are the end alone.  Without training texts the
+    occur in training texts.  ``base_score`` sums log10((c + 1) / (N + V + 1)) over the tokens,
+    with their training counts c, N tokens and V distinct ones, the end among them; the one more is
+    for all tokens not seen.  It is null if nothing was learned.  ``n_bytes`` counts the bytes of the text,
+    and ``bits_per_byte`` is the model's code length: the score in bits over the bytes, over one for an empty text.  A null text is empty; its tokens are the end alone.  Without training texts the
     model gives every bit one half.  Rows repeat as they come.
     """
     spark = docs.sparkSession
@@ -542,7 +547,7 @@ def scored_texts(docs: DataFrame, learn_from: Column) -> DataFrame:
     whole = tree is None or tree.whole
     del tree
     make, schema = _scorer(scratch.base, model_of, words_of)
-    first = scan_texts(docs, make, schema, "n_tokens long, n_known long, logs double, score double, tail array<binary>, far array<bigint>", keep="ctw")
+    first = scan_texts(docs, make, schema, "n_tokens long, n_known long, logs double, score double, tail array<binary>, far array<bigint>, n_bytes long", keep="ctw")
     first = scratch.keep(first.withColumn("row", F.monotonically_increasing_id()), "scored")
     words_of.destroy()
     model_of.destroy()
@@ -556,8 +561,10 @@ def scored_texts(docs: DataFrame, learn_from: Column) -> DataFrame:
         values = scratch.keep(arrow_map(_dealt(rows), _looked_up(spark.sparkContext.broadcast(top)), "code long, value double"), "far")
         more = far.join(values, "code").groupBy("row").agg(F.sum(F.col("value") * F.col("times")).alias("far_score"))
         out = out.join(more, "row", "left").withColumn("more_score", F.coalesce("far_score", F.lit(0.0)))
-    total = F.lit(math.log10(sums["n"] + sums["v"])) if sums["n"] else F.lit(None).cast("double")
+    total = F.lit(math.log10(sums["n"] + sums["v"] + 1)) if sums["n"] else F.lit(None).cast("double")
+    score = F.col("score") + F.col("more_score")
     return out.select(
         F.col("c0").alias("doc_id"), "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(sums["n"])).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * total).alias("base_score"), (F.col("score") + F.col("more_score")).alias("score"),
+        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * total).alias("base_score"), score.alias("score"),
+        "n_bytes", (-score * math.log2(10) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )

@@ -33,7 +33,7 @@ def op2_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ctw_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(fold(F.col("doc_id")) % 7 == 2, F.lit(False))
     scored = scored_texts(_table(spark, sf_dir, "documents"), ~held)
-    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
 
 
 def _tokenizer() -> str:

@@ -189,8 +189,9 @@ def test_scores_are_of_one_distribution_and_base_is_exact(spark, monkeypatch):
         for i, t in enumerate(texts):
             tokens = [*(t or "").encode().lower().split(), b"\n"]
             assert (rows[i].n_tokens, rows[i].n_known, rows[i].train_tokens) == (len(tokens), sum(counts[w] > 0 for w in tokens), n)
-            assert rows[i].base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v)) for w in tokens))
+            assert rows[i].base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens))
             assert rows[i].score < 0 and math.isfinite(rows[i].score)
+            assert rows[i].n_bytes == len((t or "").encode()) and rows[i].bits_per_byte == pytest.approx(-rows[i].score * math.log2(10) / max(rows[i].n_bytes, 1))
 
 
 def test_tree_predictions_sum_to_one_and_match_a_plain_context_tree():
@@ -208,31 +209,42 @@ def test_tree_predictions_sum_to_one_and_match_a_plain_context_tree():
         every = np.array([base | b for b in range(256)], np.uint64)
         assert (10 ** model.scores(every)).sum() == pytest.approx(1)
         assert np.allclose(model.scores(every), model.computed(every), atol=1e-5)
-    # The same mixture by recursion over contexts, for one bit.
-    seen = Counter()
-    for c in codes.tolist():
-        for d in range(C.DEPTH + 1):
-            seen[d, (c >> 8) & ((1 << (8 * d)) - 1), (c >> 7) & 1] += 1
+    # The same by plain recursion: Pw with one more bit over Pw without, at every context and bit prefix.
+    def tree_of(texts):
+        seen = Counter()
+        for t in texts:
+            data = b"\xff" * C.DEPTH + t + b"\xff"
+            for i in range(C.DEPTH, len(data)):
+                for bits in range(8):
+                    for d in range(C.DEPTH + 1):
+                        seen[bits, data[i] >> (8 - bits), data[i - d : i], data[i] >> (7 - bits) & 1] += 1
+        return seen
+
+    seen = tree_of(texts)
+    children = defaultdict(set)
+    for bits, prefix, context, _ in seen:
+        if context:
+            children[bits, prefix, context[1:]].add(context)
 
     def kt(a, b):
         return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
 
-    def log_pw(d, context):
-        own = kt(seen[d, context, 0], seen[d, context, 1])
-        if d == C.DEPTH:
+    def log_pw(bits, prefix, context, more, path):
+        """log Pw of a node when the nodes on ``path`` have also seen the bit ``more`` (None: they have not)."""
+        extra = [int(more == x and path[len(path) - len(context) :] == context) for x in (0, 1)]
+        own = kt(*(seen[bits, prefix, context, x] + extra[x] for x in (0, 1)))
+        if len(context) == C.DEPTH:
             return own
-        below = {c for e, c, _ in seen if e == d + 1 and c & ((1 << (8 * d)) - 1) == context}
-        return math.log(0.5) + np.logaddexp(own, sum(log_pw(d + 1, c) for c in below))
-
-    context = int.from_bytes(b"\xffabra", "big")
-    p, left = 0.0, 1.0
-    for d in range(C.DEPTH + 1):
-        c = context & ((1 << (8 * d)) - 1)
-        a, b = seen[d, c, 0], seen[d, c, 1]
-        w = 1.0 if d == C.DEPTH else math.exp(math.log(0.5) + kt(a, b) - log_pw(d, c))
-        p, left = p + left * w * (b + 0.5) / (a + b + 1), left * (1 - w)
-    got = 10 ** model.scores(np.array([(context << 8) | x for x in range(128, 256)], np.uint64))
-    assert got.sum() == pytest.approx(p, rel=1e-4)
+        below = set(children[bits, prefix, context])
+        if sum(extra):
+            below.add(path[len(path) - len(context) - 1 :])
+        return math.log(0.5) + np.logaddexp(own, sum(log_pw(bits, prefix, c, more, path) for c in below))
+
+    for context in (b"\xffabra", b"\xff" * 5, b"zzzzz", b"cadab", b"zzzza", b"zzbra", b"\xff\xffzab"):
+        base = int.from_bytes(context, "big") << 8
+        for byte in (ord("a"), ord("b"), ord("d"), ord("z"), 0xFF):
+            expected = sum(log_pw(bits, byte >> (8 - bits), b"", byte >> (7 - bits) & 1, context) - log_pw(bits, byte >> (8 - bits), b"", None, context) for bits in range(8))
+            assert model.scores(np.array([base | byte], np.uint64))[0] == pytest.approx(expected / math.log(10), rel=1e-4, abs=1e-5)
 
 
 def test_pruned_tree_is_still_a_distribution(spark, monkeypatch):
