@@ -81,7 +81,7 @@ OP10 = f"""
         UNION ALL {_kind(4, "'(?:gh[opsu]_|xox[abp]-|glpat-|sk_live_)[A-Za-z0-9_-]{16,}'", 0, 20)}
         UNION ALL {_kind(5, "'[a-z][a-z0-9+.-]{1,15}://[^ \\t-\\r:@/]{1,64}:([^ \\t-\\r@/]{6,128})@'", 1, 6)}
     ),
-    held AS (SELECT hash, count(DISTINCT owner) <= 2 AND count(DISTINCT doc_id) <= 8 AS live FROM spans GROUP BY hash),
+    held AS (SELECT hash, count(DISTINCT owner) <= 1 OR (count(DISTINCT owner) <= 2 AND count(DISTINCT doc_id) <= 8) AS live FROM spans GROUP BY hash),
     judged AS (SELECT *, kind || '' AS k, ['assign', 'access', 'hex', 'jwt', 'prefixed', 'url'][kind + 1] || ':' || start || ':' || stop AS span FROM spans JOIN held USING (hash)),
     each AS (
         SELECT row, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,

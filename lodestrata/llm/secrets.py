@@ -1,17 +1,18 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
 Regular expressions find candidates in every whole text.  A candidate's hash is aggregated
-over the corpus by distinct repositories and owners: what many owners or repositories hold
-is a copied example; what few hold looks like a live credential of its owner.  The base kinds
-are always reported; the further kinds only where the candidate is owner-specific.
+over the corpus by distinct repositories and owners: what many owners, or two owners in many
+repositories, hold is a copied example; what one owner holds, in however many repositories, or two
+in few looks like a live credential.  The base kinds are always reported; the further kinds only
+where the candidate is owner-specific.
 
-Positions come from the pieces between matches: a match starts after all the earlier pieces
-and matches, whose lengths in code points add up.
+Positions come from the pieces between matches: a match ends after all pieces and matches up to
+it, whose lengths in code points add up in a running sum over the matches of a text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.llm._common import Scratch
@@ -27,30 +28,25 @@ MORE = (
     ("prefixed", "gh[opsu]_|xox[abp]-|glpat-|sk_live_", r"(?:gh[opsu]_|xox[abp]-|glpat-|sk_live_)[A-Za-z0-9_-]{16,}", 0, 20),
     ("url", "://", r"[a-z][a-z0-9+.-]{1,15}://[^\s:@/]{1,64}:([^\s@/]{6,128})@", 1, 6),
 )
-#: A candidate that more owners or repositories hold is a copied example.
+#: A candidate that more owners hold, or several owners in more repositories, is a copied example.
 MAX_OWNERS = 2
 MAX_REPOSITORIES = 8
+#: Candidates with over 1 / HOT of all spans are fewer than HOT.
+HOT = 1000
+_MATCH = "array<struct<kind:int,gap:int,size:int,hash:string>>"
 _SPAN = "array<struct<start:bigint,kind:int,stop:bigint,hash:string>>"
 
 
 def _matches(text: Column, number: int, kind: tuple) -> Column:
-    """All spans of one kind, in order; an empty array where the cheap test fails."""
+    """All matches of one kind, in order: what stands before each, its size, and the hash of its secret if that is long enough."""
     name, test, pattern, group, least = kind
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     own = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     rows = F.arrays_zip(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole)).alias("piece"), whole.alias("whole"), own.alias("own"))
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(state: Column, row: Column) -> Column:
-        start = state["at"] + F.length(row["piece"])
-        stop = start + F.length(row["whole"])
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), stop.alias("stop"), F.sha2(row["own"].cast("binary"), 256).alias("hash"))
-        kept = F.when(F.length(row["own"]) >= least, F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(stop.alias("at"), kept.cast(_SPAN).alias("out"))
-
-    found = F.aggregate(rows, first, step, lambda s: s["out"])
+    digest = lambda r: F.when(F.length(r["own"]) >= least, F.sha2(r["own"].cast("binary"), 256))
+    found = F.transform(rows, lambda r: F.struct(F.lit(number).alias("kind"), F.length(r["piece"]).alias("gap"), F.length(r["whole"]).alias("size"), digest(r).alias("hash")))
     passes = text.contains(test) if test in ("AKIA", "eyJ", "://") else text.rlike(test)
-    return F.when(passes, found).otherwise(F.array().cast(_SPAN))
+    return F.when(passes, found).otherwise(F.array().cast(_MATCH))
 
 
 def _joined(spans: Column) -> Column:
@@ -59,31 +55,44 @@ def _joined(spans: Column) -> Column:
 
 
 def found_secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
-    """One row for each document: doc_id, base and more (arrays of spans), owner-specific and example counts.
+    """One row for each document: doc_id, base and added (arrays of spans), owner-specific and example counts.
 
     Columns: doc_id; ``base`` spans; ``added`` spans of the further kinds whose candidate is
     owner-specific; ``n_live`` and ``n_example``, the candidates of any kind that are
     owner-specific or copied examples.  Spans are structs (start, kind, stop, hash), in code
     points, stop exclusive; kind is the place in BASE + MORE.  A null text has none.  Null
-    repositories and owners are not counted as holders.  Rows repeat as they come.
+    repositories and owners are not counted as holders.  Rows repeat as they come; an empty
+    table gives an empty result.
+
+    Matches leave their text as rows, so a text's work follows its length and matches.  No more than
+    ``HOT`` candidates can have over that share of all spans: these are looked up by a broadcast, the others by a shuffle.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     hits = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{repository}`").cast("string").alias("repository"), F.col(f"`{owner}`").cast("string").alias("owner"),
-        F.concat(*[_matches(text, i, k) for i, k in enumerate(BASE)]).alias("base"), F.concat(*[_matches(text, len(BASE) + i, k) for i, k in enumerate(MORE)]).alias("more"),
+        F.concat(*[_matches(text, i, k) for i, k in enumerate((*BASE, *MORE))]).alias("found"),
     )
     hits = scratch.keep(hits.withColumn("row", F.monotonically_increasing_id()), "hits")
-    some = hits.where((F.size("base") > 0) | (F.size("more") > 0))
-    each = some.select("row", "repository", "owner", F.explode(F.concat("base", "more")).alias("span"))
-    each = each.select("row", "repository", "owner", "span", F.col("span.hash").alias("hash"))
-    held = each.groupBy("hash").agg(F.countDistinct("repository").alias("repositories"), F.countDistinct("owner").alias("owners"))
-    judged = each.select("row", "span", "hash").join(held.select("hash", ((F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES)).alias("live")), "hash")
-    extra = F.when(F.col("live") & (F.col("span.kind") >= len(BASE)), F.col("span"))
-    judged = judged.groupBy("row").agg(F.collect_list(extra).alias("added"), F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example"))
-    out = hits.select("row", "doc_id", "base").join(judged, "row", "left")
-    zero = F.lit(0).cast("long")
-    return out.select("doc_id", "base", F.coalesce("added", F.array().cast(_SPAN)).alias("added"), F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"))
+    each = hits.where(F.size("found") > 0).select("row", "repository", "owner", F.posexplode("found").alias("place", "m")).select("row", "repository", "owner", "place", "m.*")
+    so_far = F.sum(F.col("gap").cast("long") + F.col("size")).over(Window.partitionBy("row", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+    each = each.withColumn("stop", so_far).where("hash is not null")
+    each = scratch.keep(each.select("row", "repository", "owner", F.struct((F.col("stop") - F.col("size")).alias("start"), "kind", "stop", "hash").alias("span"), "hash"), "spans")
+    few = (F.col("owners") <= 1) | ((F.col("owners") <= MAX_OWNERS) & (F.col("repositories") <= MAX_REPOSITORIES))
+    held = each.groupBy("hash").agg(F.countDistinct("repository").alias("repositories"), F.countDistinct("owner").alias("owners"), F.count("*").alias("n")).select("hash", few.alias("live"), "n")
+    held = scratch.keep(held, "held")
+    total = held.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).head()["n"]
+    hot = F.col("n") * HOT > total
+    often = F.broadcast(held.where(hot).select("hash", "live"))
+    rest = each.join(often.select("hash"), "hash", "left_anti").join(held.where(~hot).select("hash", "live"), "hash")
+    judged = each.join(often, "hash").select("row", "span", "live").unionByName(rest.select("row", "span", "live"))
+    is_base = F.col("span.kind") < len(BASE)
+    judged = judged.groupBy("row").agg(
+        F.collect_list(F.when(is_base, F.col("span"))).alias("base"), F.collect_list(F.when(F.col("live") & ~is_base, F.col("span"))).alias("added"), F.count_if("live").alias("n_live"), F.count_if(~F.col("live")).alias("n_example")
+    )
+    out = hits.select("row", "doc_id").join(judged, "row", "left")
+    none, zero = F.array().cast(_SPAN), F.lit(0).cast("long")
+    return out.select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("added", none).alias("added"), F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_example", zero).alias("n_example"))
 
 
 def digests(found: DataFrame) -> DataFrame:

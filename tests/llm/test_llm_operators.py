@@ -627,6 +627,29 @@ def test_copied_examples_are_told_from_owned_credentials(spark):
     assert found_secrets(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_ownership_is_judged_by_owners(spark):
+    """One owner's credential stays live in any number of documents; two owners' only in few; null owners hold nothing."""
+    from lodestrata.llm.secrets import digests, found_secrets
+
+    keys = [f"glpat-{c * 20}" for c in "ABCD"]
+    rows = [(keys[0], "one")] * 30 + [(keys[1], f"two{i % 2}") for i in range(30)] + [(keys[2], f"few{i}") for i in range(2)] + [(keys[3], None)] * 12
+    got = digests(found_secrets(docs_of(spark, [t for t, _ in rows], [s or None for _, s in rows]))).collect()
+    live = {k: {r.n_live for r in got if rows[r.doc_id][0] == k} for k in keys}
+    assert live == {keys[0]: {1}, keys[1]: {0}, keys[2]: {1}, keys[3]: {1}}
+    assert all((r.spans == "prefixed:0:26") == bool(r.n_live) for r in got)
+
+
+def test_a_text_with_very_many_secrets(spark):
+    """A hundred thousand matches in one text, one secret in a third of all spans, another text of a million letters without any."""
+    from lodestrata.llm.secrets import digests, found_secrets
+
+    many = "".join(f"token=abcdefgh{i % 30000 if i % 3 else 0} é" for i in range(100_000))
+    docs = docs_of(spark, [many, "x" * 1_000_000, many[:5000], many[:5000]])
+    rows = {r.doc_id: r for r in digests(found_secrets(docs)).collect()}
+    assert rows[0].n_assign == 100_000 and rows[0].spans == base_spans(many) and rows[1].spans == ""
+    assert rows[2].spans == rows[3].spans == base_spans(many[:5000])
+
+
 def test_secret_plan_runs_no_python(spark):
     from lodestrata.llm.secrets import digests, found_secrets
 
