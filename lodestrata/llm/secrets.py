@@ -51,7 +51,7 @@ def _matches(text: Column, number: int, kind: tuple) -> Column:
 
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k[0]) for k in (*BASE, *MORE)])
-    return F.concat_ws(",", F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", names[x["kind"]], x["start"].cast("string"), x["stop"].cast("string"))))
+    return F.concat_ws(",", F.transform(F.sort_array(spans), lambda x: F.concat_ws(":", names[x["kind"]], x["start"].cast("string"), x["stop"].cast("string"))))
 
 
 def found_secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
