@@ -590,6 +590,136 @@ def test_single_pages(html, text):
     assert Page(html).text() == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<div class='content no-sidebar'><p>a</p></div>", "a"), ("<div class='has-sidebar'><main><p>m</p></main></div>", "m"), ("<p>a</p><div class='social-science'>b</div>", "a\nb"),
+        ("<article><h1 class='widget-title'>t</h1><p>b</p></article>", "t\nb"), ("<form id='aspnetForm'><div><p>the whole page is in a form</p></div></form>", "the whole page is in a form"),
+        ("<aside><article><p>a</p></article></aside><p>x</p>", "a"), ("<p>a b c d e</p><div class='sidebar'>s</div><div id='siteFooter'>f</div><div class='ad-slot-2'>x</div>", "a b c d e"),
+        ("<div class='sidebar right'><p>all of the page</p></div>", "all of the page"), ("<p>short</p><div id='comments'><article class='comment'><p>a long comment, longer than all the rest of it</p></article></div>", "short"),
+        ("<div id='comments'><article class='comment'><p>c</p></article></div><article>a</article>", "a"), ("<div class='page-header'>h</div><p>some text here</p><div class='post-header'>t</div>", "some text here\nt"),
+        ("<main><header><h1>T</h1></header><p>b</p></main>", "T\nb"), ("<p>some more text</p><div role='navigation'>n</div><div class='breadcrumbs top'>c</div>", "some more text"), ("<p>x</p><dialog open>d</dialog>", "x"),
+        ("<article class='post'><p>a</p><div class='share-buttons'>s</div><section class='related-posts'>r</section></article>", "a"), ("<body class='no-comments'><p>a</p></body>", "a"),
+    ],
+)
+def test_names_of_furniture(html, text):
+    from lodestrata.llm.html_templates import Page
+
+    assert Page(html).text() == text
+
+
+def reference_text(page):
+    """The blocks of the article element by the standard library's parser: slow, and for well-formed articles only."""
+    from html.parser import HTMLParser
+
+    blocks = "h1 h2 p div article br".split()
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.on, self.out = False, [[]]
+
+        def handle_starttag(self, tag, attrs):
+            self.on |= tag == "article"
+            if tag in blocks:
+                self.out[-1].append(" ") if tag == "br" else self.out.append([])
+
+        def handle_endtag(self, tag):
+            self.on &= tag != "article"
+            if tag in blocks:
+                self.out.append([])
+
+        def handle_data(self, data):
+            if self.on:
+                self.out[-1].append(data)
+
+    reader = Reader()
+    reader.feed(page or "")
+    reader.close()
+    return "\n".join(filter(None, (" ".join("".join(b).split()) for b in reader.out)))
+
+
+def test_given_pages_equal_a_slow_reference(spark):
+    from lodestrata.llm.html_templates import main_texts
+
+    folder = "/root/testdata/sf0.01"
+    if not __import__("os").path.isdir(folder):
+        pytest.skip("no test tables")
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    expected = {r.page_id: reference_text(r.html) for r in pages.collect()}
+    got = {r.page_id: r.text for r in main_texts(pages).collect()}
+    assert got == expected and sum(map(len, got.values()))
+
+
+def labelled_pages(seed, n, host, article_tag):
+    """Pages of one host with known article texts: furniture named by tag, class or not at all, and reader comments."""
+    rng = random.Random(seed)
+    say = lambda k: " ".join(words(rng, k, 2000))
+    fixed = [say(6) for _ in range(6)]
+    out = []
+    for i in range(n):
+        blocks = [say(rng.randrange(3, 60)) for _ in range(rng.randrange(1, 9))]
+        body = "".join(f"<p>{b}</p>" if rng.random() < 0.8 else f"<div><span>{b}</span></div>" for b in blocks)
+        if article_tag:
+            body = f"<{article_tag}>{body}</{article_tag}>"
+        before = f"<div class='top'><div>{fixed[0]}</div><div><b>{fixed[1]}</b></div></div><nav><ul><li>{say(2)}<li>{fixed[2]}</ul></nav><div class='cookie-notice'>{say(5)}</div>"
+        side = f"<div class='{rng.choice(['sidebar', 'sidebar-right', 'widget-area', 'relatedPosts', 'ad'])}'><p>{say(8)}</p></div>"
+        after = f"<form><p>{say(3)}</p></form><div id='comments'>{''.join(f'<div class=comment>{say(9)}</div>' for _ in range(rng.randrange(4)))}</div><div><p>{fixed[3]}</p><p>{fixed[4]}</p></div><footer>{say(4)}</footer>"
+        out.append((f"http://{host}/{i}", f"<html><head><title>{say(3)}</title><script>var a='<p>{say(2)}</p>'</script></head><body>{before}{side if i % 2 else ''}{body}{'' if i % 2 else side}{after}</body></html>", blocks))
+    return out
+
+
+def test_precision_and_recall_on_labelled_pages(spark):
+    """Named and recurring furniture goes, articles stay word for word, in articles with and without an element of their own."""
+    from lodestrata.llm.html_templates import main_texts
+
+    rows = [r for k, tag in enumerate(["article", "main", "", "div class='post-content'"]) for r in labelled_pages(k, 40, f"h{k}.org", tag)]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(rows)], PAGES)
+    got = {r.page_id: r.text for r in main_texts(df).collect()}
+    both = found = true = 0
+    for i, (_, _, blocks) in enumerate(rows):
+        a, b = Counter(got[i].split()), Counter(" ".join(blocks).split())
+        both, found, true = both + (a & b).total(), found + a.total(), true + b.total()
+    assert both / true == 1 and both / found > 0.99
+    assert np.mean([got[i] == "\n".join(b) for i, (_, _, b) in enumerate(rows)]) > 0.95
+
+
+def test_templates_of_sections_and_near_copies(spark):
+    """A section's own template goes; passages that recur in articles stay; near copies of an article keep it."""
+    from lodestrata.llm.html_templates import main_texts
+
+    rng = random.Random(6)
+    say = lambda k: " ".join(words(rng, k, 3000))
+    rows, expected = [], {}
+    for i in range(60):  # one section of ten pages has a block of its own
+        own, part = say(30), "news" if i < 10 else f"s{i % 5}"
+        rows.append((i, f"http://a.org/{part}/{i}", f"<body>{'<div><p>Only in the news</p></div>' if i < 10 else ''}<div><p>{own}</p></div></body>"))
+        expected[i] = own
+    passage = say(20)
+    for i in range(100, 160):  # a passage in two fifths of a host's articles, and no section
+        own = say(30)
+        rows.append((i, f"http://b.org/{i}", f"<article><p>{own}</p>{f'<p>{passage}</p>' if i % 5 < 2 else ''}</article>"))
+        expected[i] = own + (f"\n{passage}" if i % 5 < 2 else "")
+    shared = [say(20) for _ in range(5)]
+    for i in range(200, 212):  # near copies of one article are most of their host
+        own = say(5)
+        rows.append((i, f"http://c.org/{i}", "<article>" + "".join(f"<p>{p}</p>" for p in shared) + f"<p>{own}</p></article>"))
+        expected[i] = "\n".join([*shared, own])
+    got = {r.page_id: r.text for r in main_texts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == expected
+
+
+def test_long_and_repeated_pages(spark):
+    """A page of megabytes and tens of thousands of elements, and rows that repeat."""
+    from lodestrata.llm.html_templates import main_texts
+
+    long = "<article>" + "".join(f"<div class='comment'><article class='comment'><p>c{i}</p></article></div><p>word{i} " + "x" * 40 + "</p>" for i in range(20_000)) + "</article>"
+    deep = "<div class='sidebar'>" * 2000 + "<p>deep</p>" + "</div>" * 2000
+    rows = [(1, "http://h.org/x", long), (1, "http://h.org/x", long), (2, "http://h.org/y", deep), (2, "http://h.org/y", deep)]
+    got = sorted((r.page_id, r.text) for r in main_texts(spark.createDataFrame(rows, PAGES)).collect())
+    assert [g[0] for g in got] == [1, 1, 2, 2] and got[0][1] == "\n".join(f"word{i} " + "x" * 40 for i in range(20_000)) == got[1][1] and got[2][1] == got[3][1] == "deep"
+
+
 # --- op10 --------------------------------------------------------------------------------------------------------
 
 
