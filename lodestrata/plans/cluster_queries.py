@@ -183,19 +183,17 @@ def shard_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def tar_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write tar shards of all vectors into the shared folder (a temporary one in tests): path, rows, digest."""
-    import tempfile
+    """Write tar shards of all vectors into the shared folder: path, rows, digest."""
     import uuid
 
+    from lodestrata.session import shared_folder
     from lodestrata.sources.tar_shards import write_tars
 
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("cluster_id"), "embedding")
     rows = assign_shards(rows, 100, key="vec_id", ranges=8)
     text = F.to_json("embedding").cast("binary")
     samples = rows.select("cluster_id", "shard", F.format_string("%08d", "vec_id").alias("image_id"), text.alias("latent"), text.alias("clip_emb"), F.lit("").alias("caption"), F.to_json(F.struct("cluster_id")).alias("metadata"))
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = f"{shared.removeprefix('file://').rstrip('/')}/tar-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="lodestrata-")
-    return write_tars(samples, f"{root}/expert_shards")
+    return write_tars(samples, f"{shared_folder(spark)}/tar-{uuid.uuid4().hex}/expert_shards")
 
 
 @query("SELECT count(*) AS total, count(DISTINCT label) AS num_clusters, max(n) AS largest, min(n) AS smallest, sum((n + 999) // 1000)::BIGINT AS n_shards FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY label) JOIN embeddings USING (label)".replace("sum((n + 999) // 1000)::BIGINT", "(SELECT sum((m + 999) // 1000)::BIGINT FROM (SELECT count(*) AS m FROM embeddings GROUP BY label))"))

@@ -9,6 +9,7 @@ import shutil
 import tarfile
 import uuid
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +31,7 @@ def write_tars(samples: DataFrame, root: str, key: str = "image_id", clean: bool
     are empty now, goes only when all are written (``clean``; else shards of other names stay).  Returns
     path, n, sha256 (small: one row for each shard).
     """
+    root = urlsplit(root).path if root.startswith("file:") else root
     staging = f"{root.rstrip('/')}.{uuid.uuid4().hex}"
     os.makedirs(staging)
 
