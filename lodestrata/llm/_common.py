@@ -2,14 +2,13 @@
 
 Scratch tables are Parquet folders below the shared folder that the session names
 in ``spark.checkpoint.dir``; a lost executor costs only the tasks it ran, since
-every later stage reads the written table again.  Where the setting is unset (tests),
-a folder below the system's temporary folder is set.
+every later stage reads the written table again.  They are deleted when the driver's process ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -17,23 +16,35 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.session import shared_folder
+
 WORD_CACHE_ENTRIES = 200_000
 #: Bytes of one batch that goes to a Python worker; the session's own bound, if smaller, stays.
 ARROW_BYTES = 8 << 20
 pa.set_memory_pool(pa.system_memory_pool())  # gives freed batches back to the system
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``, or a temporary one if that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lodestrata-"))
-        root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return root.rstrip("/")
+#: Folders of this process's operators; they are deleted when it ends, also after a failed run.
+_FOLDERS: list[str] = []
+
+
+@atexit.register
+def _deleted() -> None:
+    """Results that are read lazily need their tables as long as the process that can ask for them."""
+    gateway = SparkContext._gateway
+    if gateway is None or not _FOLDERS:
+        return
+    try:
+        for folder in _FOLDERS:
+            path = gateway.jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(gateway.jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except (Py4JError, OSError):  # the JVM has gone already
+        pass
 
 
 class Scratch:
@@ -41,7 +52,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
-        self.base = f"{scratch_root(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
+        self.base = f"{shared_folder(spark)}/lodestrata/{name}-{uuid.uuid4().hex}"
+        _FOLDERS.append(self.base)
 
     def path(self, table: str) -> str:
         return f"{self.base}/{table}"

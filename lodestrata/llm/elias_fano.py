@@ -1,25 +1,29 @@
 """Token ids of documents in binary files with Elias-Fano encoded document boundaries.
 
-A file is one contiguous byte string::
+A file is one contiguous byte string that a reader can map into memory::
 
-    b"LSEF" | u32 id width | u64 documents | u64 ids | u32 low bits | u32 samples | u64 high bytes
-    low parts, bit-packed | high parts, unary | select samples | ids
+    b"LSEF" | u32 id width | u64 documents | u64 ids | u32 low bits | u32 samples | u64 high bytes | u32 name bits | u32 flags | i64 least name
+    low parts, bit-packed | high parts, unary | select samples | names, bit-packed | null names | ids
 
 The boundaries are the ends of the documents in the concatenated ids.  Each keeps its ``low
 bits`` lowest bits as they are; what is above goes into a bit vector in which the i-th one
 stands at (end >> low bits) + i.  So n ends below u take about 2 + log2(u / n) bits each.
 ``select`` finds the i-th one from the sample of its block of ``SAMPLE`` ones and the
-population counts of the bytes after it, and needs no table of 64-bit offsets.
+population counts of the bytes after it, and needs no table of 64-bit offsets; a whole block is
+found by one look at the bits between two samples.  Names (doc_ids) take as many bits as their span needs.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,41 +32,72 @@ from lodestrata.llm._common import Scratch, arrow_map, sized_batches
 from lodestrata.llm._encode import encoder as shared_encoder
 
 MAGIC = b"LSEF"
-HEADER = struct.Struct("<4sIQQIIQ")
+HEADER = struct.Struct("<4sIQQIIQIIq")
 SAMPLE = 64
 #: Ids in one file at most, unless one document has more.
 FILE_IDS = 1 << 21
 
 
-def write_file(ids: list[bytes], kind: str) -> bytes:
-    """The bytes of a file that holds these documents' ids in order."""
+_NAMED, _NULLS = 1, 2
+
+
+def _packed(values: np.ndarray, bits: int) -> bytes:
+    """Unsigned 64-bit values in so many bits each."""
+    return np.packbits(((values[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little").tobytes()
+
+
+def _unpacked(data: np.ndarray, first: int, n: int, bits: int) -> np.ndarray:
+    """``n`` values from ``first`` on, which is the first of a block and so begins a byte."""
+    at = first * bits // 8
+    each = np.unpackbits(data[at : at + -(-n * bits // 8)], count=n * bits, bitorder="little").reshape(n, bits).astype(np.uint64)
+    return (each << np.arange(bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
+def write_file(ids: list[bytes], kind: str, names: list[int | None] | None = None) -> bytes:
+    """The bytes of a file that holds these documents' ids, and their names if given, in order."""
     width = np.dtype(kind).itemsize
     ends = np.cumsum(np.array([len(x) // width for x in ids], np.int64))
     n, total = len(ends), int(ends[-1]) if len(ends) else 0
     low_bits = max(0, (total // max(n, 1)).bit_length() - 1)
-    low = ((ends[:, None] >> np.arange(low_bits)) & 1).astype(np.uint8)
     ones = (ends >> low_bits) + np.arange(n)
     high = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
     high[ones] = 1
-    low_bytes, high_bytes = np.packbits(low.ravel(), bitorder="little").tobytes(), np.packbits(high, bitorder="little").tobytes()
+    high_bytes = np.packbits(high, bitorder="little").tobytes()
     samples = ones[::SAMPLE].astype("<u4").tobytes()
-    return b"".join([HEADER.pack(MAGIC, width, n, total, low_bits, len(samples) // 4, len(high_bytes)), low_bytes, high_bytes, samples, *ids])
+    known = [x for x in names or () if x is not None]
+    least = min(known, default=0)
+    name_bits = (max(known, default=0) - least).bit_length()
+    flags = (_NAMED if names is not None else 0) | (_NULLS if names is not None and len(known) < n else 0)
+    tail = []
+    if flags:
+        tail.append(_packed(np.array([0 if x is None else x - least for x in names], np.uint64), name_bits))
+    if flags & _NULLS:
+        tail.append(np.packbits(np.array([x is None for x in names]), bitorder="little").tobytes())
+    return b"".join([HEADER.pack(MAGIC, width, n, total, low_bits, len(samples) // 4, len(high_bytes), name_bits, flags, least), _packed(ends.astype(np.uint64), low_bits), high_bytes, samples, *tail, *ids])
 
 
 class TokenFile:
-    """Reads one file without unpacking its boundaries."""
+    """Reads one file, whose bytes may be mapped, without unpacking its boundaries."""
 
-    def __init__(self, data: bytes) -> None:
-        magic, self.width, self.documents, self.total, self.low_bits, samples, high = HEADER.unpack_from(data)
+    def __init__(self, data) -> None:
+        magic, self.width, self.documents, self.total, self.low_bits, samples, high, self.name_bits, self.flags, self.least = HEADER.unpack_from(data)
         if magic != MAGIC:
             raise ValueError("not a token file")
         self.kind = f"<u{self.width}"
-        at = HEADER.size
-        low = -(-self.documents * self.low_bits // 8)
-        self.low = np.frombuffer(data, np.uint8, low, at)
-        self.high = np.frombuffer(data, np.uint8, high, at + low)
-        self.samples = np.frombuffer(data, "<u4", samples, at + low + high)
-        self.ids = np.frombuffer(data, self.kind, self.total, at + low + high + 4 * samples)
+        n, at = self.documents, HEADER.size
+
+        def part(kind: str, count: int) -> np.ndarray:
+            nonlocal at
+            found = np.frombuffer(data, kind, count, at)
+            at += found.nbytes
+            return found
+
+        self.low = part("u1", -(-n * self.low_bits // 8))
+        self.high = part("u1", high)
+        self.samples = part("<u4", samples)
+        self.packed_names = part("u1", -(-n * self.name_bits // 8) if self.flags else 0)
+        self.nulls = part("u1", -(-n // 8) if self.flags & _NULLS else 0)
+        self.ids = part(self.kind, self.total)
 
     def select(self, i: int) -> int:
         """Where the i-th one (from 0) of the high bits stands."""
@@ -97,51 +132,101 @@ class TokenFile:
     def document(self, i: int) -> np.ndarray:
         return self.ids[self.end(i - 1) if i else 0 : self.end(i)]
 
+    def blocks(self) -> Iterator[tuple[np.ndarray, list[int | None]]]:
+        """For each block of ``SAMPLE`` documents their ends and names, in order."""
+        for block, at in enumerate(self.samples.tolist()):
+            first = block * SAMPLE
+            n = min(SAMPLE, self.documents - first)
+            stop = int(self.samples[block + 1]) if block + 1 < len(self.samples) else 8 * len(self.high)
+            bits = np.unpackbits(self.high[at // 8 : -(-stop // 8)], bitorder="little")[at % 8 : at % 8 + stop - at]
+            ones = at + np.flatnonzero(bits)
+            low = _unpacked(self.low, first, n, self.low_bits).astype(np.int64)
+            yield ((ones - np.arange(first, first + n)) << self.low_bits) | low, self._names(first, n)
+
+    def _names(self, first: int, n: int) -> list[int | None]:
+        if not self.flags:
+            return [None] * n
+        names = (_unpacked(self.packed_names, first, n, self.name_bits) + np.uint64(self.least % (1 << 64))).view(np.int64).tolist()
+        if self.flags & _NULLS:
+            nulls = np.unpackbits(self.nulls[first // 8 : -(-(first + n) // 8)], count=n, bitorder="little")
+            names = [None if gone else x for x, gone in zip(names, nulls.tolist(), strict=True)]
+        return names
+
     def ends(self) -> np.ndarray:
-        """All ends at once, for reading the whole file."""
-        n = self.documents
-        bits = np.unpackbits(self.low, count=n * self.low_bits, bitorder="little").reshape(n, self.low_bits).astype(np.int64)
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        return ((ones - np.arange(n)) << self.low_bits) | (bits << np.arange(self.low_bits)).sum(axis=1)
+        """All ends at once."""
+        return np.concatenate([np.empty(0, np.int64), *(ends for ends, _ in self.blocks())])
+
 
+def _store(root: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder that Spark names, for Python tasks."""
+    if "://" not in root or root.startswith("file:"):
+        return fs.LocalFileSystem(), urlsplit(root).path if root.startswith("file:") else root
+    return fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
 
-_FILES = "part int, file int, first long, n_ids long, doc_ids array<bigint>, data binary"
 
+def _put(root: str, name: str, data: bytes) -> None:
+    """Write a file whole: repeated tasks make equal files, and the last to be there stays."""
+    store, base = _store(root)
+    store.create_dir(base, recursive=True)
+    temp = f"{base}/.{name}.{uuid.uuid4().hex}"
+    with store.open_output_stream(temp) as f:
+        f.write(data)
+    try:
+        store.move(temp, f"{base}/{name}")
+    except OSError:
+        if store.get_file_info(f"{base}/{name}").size != len(data):
+            raise
+        store.delete_file(temp)
 
-def _encoded(path: str, end_id: int):
+
+def open_file(root: str, name: str) -> TokenFile:
+    """One of the files below a folder; from a local disk it is mapped, not read."""
+    store, base = _store(root)
+    if isinstance(store, fs.LocalFileSystem):
+        return TokenFile(pa.memory_map(f"{base}/{name}").read_buffer())
+    with store.open_input_file(f"{base}/{name}") as f:
+        return TokenFile(f.read())
+
+
+_FILES = "part int, file int, name string, first long, n_ids long"
+
+
+def _encoded(path: str, end_id: int, folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = shared_encoder(path), TaskContext.get().partitionId()
         end, width = np.array([end_id], encoder.kind).tobytes(), np.dtype(encoder.kind).itemsize
-        names, held, size, file, first = [], [], 0, 0, 0
+        names, held, size, rows, first = [], [], 0, [], 0
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([file], pa.int32()), pa.array([first], pa.int64()), pa.array([size], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([write_file(held, encoder.kind)], pa.binary())],
-                names=["part", "file", "first", "n_ids", "doc_ids", "data"],
-            )
+        def done() -> None:
+            name = f"part-{part:05d}-{len(rows):05d}.lsef"
+            _put(folder, name, write_file(held, encoder.kind, names))
+            rows.append((part, len(rows), name, first, size))
 
         for batch in sized_batches(batches, "text"):
             for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).cast(pa.binary()).to_pylist()), strict=True):
                 n = len(ids) // width + 1
                 if held and size + n > FILE_IDS:
-                    yield out()
-                    names, held, first, size, file = [], [], first + size, 0, file + 1
+                    done()
+                    names, held, first, size = [], [], first + size, 0
                 names.append(name)
                 held.append(ids + end)
                 size += n
         if held:
-            yield out()
+            done()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)], names=["part", "file", "name", "first", "n_ids"])
 
     return run
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, order: list[Column] | None = None) -> None:
-    """Encode whole texts and write them in files below ``path``, in ascending order of ``order`` (doc_id).
+    """Encode whole texts into files below ``path``/files, in ascending order of ``order`` (doc_id), listed by the table ``path``/list.
 
-    Each file is a row of a Parquet table (part, file, first, n_ids, doc_ids, data), so that a
-    lost or repeated task leaves no half-written file; ``data`` is the file.  Parts and files
-    are in order; ``first`` counts the ids of the part before the file.  Nulls come
-    first; rows of equal order are ordered by their text.  A null text is empty: it has the end id alone.
+    The list has a row (part, file, name, first, n_ids) for each file; parts and files
+    are in order; ``first`` counts the ids of the part before the file.  A task writes its files under other
+    names and moves them into place, so a lost or repeated one leaves no half-written file; what the list
+    does not name is no part of the result.  Nulls come first; rows of equal order are ordered by their
+    text.  A null text is empty: it has the end id alone.  An empty table makes no file.
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -149,20 +234,25 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, o
     keys = [f"o{i}" for i in range(len(order))] + ["tie"]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c.alias(k) for c, k in zip(order, keys, strict=False)]).withColumn("tie", F.xxhash64("text"))
     ordered = docs.repartitionByRange(n, *keys).sortWithinPartitions(*keys, "text").select("doc_id", "text")
-    arrow_map(ordered, _encoded(tokenizer, end_id), _FILES, "encoder").write.mode("overwrite").option("compression", "zstd").parquet(path)
+    arrow_map(ordered, _encoded(tokenizer, end_id, f"{path}/files"), _FILES, "encoder").write.mode("overwrite").parquet(f"{path}/list")
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            file = TokenFile(batch.column(2)[i].as_buffer().to_pybytes())
-            ends = file.ends()
-            starts = np.concatenate([[0], ends[:-1]])
-            crcs = [zlib.crc32(file.ids[x:y].astype("<u4")) for x, y in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1)[i].values, pa.array(starts + batch.column(0)[i].as_py()), pa.array(ends - starts), pa.array(crcs, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+def _read(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                file = open_file(folder, name)
+                names, starts, sizes, crcs, at = [], [], [], [], 0
+                for ends, some in file.blocks():
+                    names += some
+                    for end in ends.tolist():
+                        starts.append(begin + at)
+                        sizes.append(end - at)
+                        crcs.append(zlib.crc32(file.ids[at:end].astype("<u4")))
+                        at = end
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (names, starts, sizes, crcs)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return run
 
 
 def read_token_files(spark, path: str) -> DataFrame:
@@ -170,19 +260,20 @@ def read_token_files(spark, path: str) -> DataFrame:
 
     The driver gathers one number for each part (range partition) to know where parts begin.
     """
-    files = spark.read.schema(_FILES).parquet(path)
+    files = spark.read.schema(_FILES).parquet(f"{path}/list")
     sums = {r["part"]: r["n"] for r in files.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}
     begins, total = [], 0
     for part in sorted(sums):
         begins.append((part, total))
         total += sums[part]
     bases = spark.createDataFrame(begins, "part int, base long")
-    held = files.join(F.broadcast(bases), "part").select((F.col("base") + F.col("first")).alias("begin"), "doc_ids", "data")
-    return arrow_map(held, _read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = files.repartition(n, "part", "file").join(F.broadcast(bases), "part").select((F.col("base") + F.col("first")).alias("begin"), "name")
+    return arrow_map(held, _read(f"{path}/files"), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1, order: list[Column] | None = None) -> DataFrame:
     """Write the files into the scratch folder and read them again."""
     scratch = Scratch(docs.sparkSession, "elias-fano")
-    write_token_files(docs, scratch.path("files"), tokenizer, end_id, order)
-    return read_token_files(docs.sparkSession, scratch.path("files"))
+    write_token_files(docs, scratch.path("tokens"), tokenizer, end_id, order)
+    return read_token_files(docs.sparkSession, scratch.path("tokens"))

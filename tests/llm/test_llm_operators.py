@@ -342,6 +342,25 @@ def test_token_files_round_trip(spark, monkeypatch):
     assert E.token_files_round_trip(docs.limit(0), tokenizer()).count() == 0
 
 
+def test_files_are_mapped_and_give_any_document(spark, tmp_path):
+    """Real files: any document by select, names that are null, negative or far apart, and one that is longer than a file should be."""
+    from lodestrata.llm import elias_fano as E
+
+    encode, rng = library_ids(), random.Random(7)
+    ids = [None, None, -5, 0, 7, 7, 1 << 62, -(1 << 62), *range(100, 300)]
+    texts = [rng.choice(TEXTS) if i % 9 else None for i in range(len(ids))]
+    E.write_token_files(docs_of(spark, texts, ids=ids), f"file://{tmp_path}/t", tokenizer(), 1)
+    listed = spark.read.parquet(f"{tmp_path}/t/list").orderBy("part", "file").collect()
+    assert {f.name for f in (tmp_path / "t" / "files").glob("*.lsef")} == {r.name for r in listed}
+    got = []
+    for r in listed:
+        f = E.open_file(f"file://{tmp_path}/t/files", r.name)
+        names = [x for _, some in f.blocks() for x in some]
+        got += [(names[i], f.document(i).tolist()) for i in rng.sample(range(f.documents), f.documents)]
+        assert r.n_ids == f.total
+    assert sorted(got, key=str) == sorted(((i, [*encode(t), 1]) for i, t in zip(ids, texts, strict=True)), key=str)
+
+
 def test_elias_fano_select_and_size():
     from lodestrata.llm.elias_fano import HEADER, TokenFile, write_file
 
