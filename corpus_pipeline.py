@@ -1,4 +1,9 @@
-"""The training-data pipeline over ``documents``: five stages, each written as Parquet and read again by the next."""
+"""The training-data pipeline over ``documents``: five stages, each written as Parquet and read again by the next.
+
+Null and empty texts, null and repeated ids pass through the filters as the stages' docstrings say: without words a text is not
+toxic, has no near duplicate and no leak; the mix takes words, so such rows are not in it, nor in the
+token files.  Extra columns of ``documents`` are not read; an empty table gives empty results at every stage.
+"""
 
 from __future__ import annotations
 
@@ -16,6 +21,8 @@ from lodestrata.llm.toxicity import toxicity_scores
 
 #: Documents with at least this toxicity score are rejected.
 TOXIC = 0.3
+#: Words of a benchmark passage that no kept document holds.
+WINDOW = 13
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Not expressible in SQL: the stages learn weights, sample hash functions and run a tokenizer.  Tests hold them against brute force.
 ORACLE_SQL = None
@@ -27,7 +34,11 @@ def _carried(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the classifier rejects; it learns from all labelled rows of ``docs``."""
+    """Drop documents that the classifier rejects.
+
+    It learns from labelled rows of ``docs``, a bounded sample if there are more than ``MAX_TRAIN_DOCS``
+    of them, and scores these rows like all others.  Documents without words or text stay.
+    """
     scored = toxicity_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), carry=docs.columns)
     return _carried(scored.where(F.col("score") < TOXIC), docs)
 
@@ -46,9 +57,14 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which benchmark passages make up a twentieth or more."""
-    found = leaked_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=docs.columns)
-    return _carried(with_verdict(found).where(~F.col("contaminated")), docs)
+    """Drop documents that hold a benchmark passage.
+
+    That is a run of at least ``WINDOW`` hit words, however long the document, or hit words that make up
+    a twentieth of it.  Items shorter than a window that are less of a document are taken for chance: it stays as it is.
+    """
+    found = leaked_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), WINDOW, carry=docs.columns)
+    run = F.exists(F.transform("spans", lambda x, i: F.when(i % 2 == 1, x - F.get("spans", i - 1))), lambda n: F.coalesce(n >= WINDOW, F.lit(False)))
+    return _carried(with_verdict(found).where(~F.col("contaminated") & ~run), docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
