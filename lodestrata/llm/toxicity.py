@@ -117,13 +117,13 @@ def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn_from) -> dict[int, float]:
-    """Non-zero weights, learned from at most ``MAX_TRAIN_DOCS`` labelled documents.
+    """Non-zero weights, learned from at most ``MAX_TRAIN_DOCS`` labelled documents of ``docs``, in one task that holds their features.
 
     ``learn_from`` is a condition on ``doc_id``.  A doc_id with several labels takes the
     largest; null ids or labels are not learned from.  Without any, there are no weights.
     """
     chosen = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label")).where(learn_from).where("doc_id is not null and label is not null")
-    chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label")).join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     chosen = chosen.withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id").limit(MAX_TRAIN_DOCS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     known = arrow_map(texts.select("turn", "label", "text"), _featurised, "turn long, label int, at binary")

@@ -43,6 +43,45 @@ def test_stages_catch_planted_cases_and_keep_clean_documents(spark, corpus):
     assert kept["mixing"] <= kept["decontamination"]
 
 
+def test_passages_go_from_documents_of_any_length(spark, tmp_path):
+    """A passage under a twentieth of its document, one window of it, and short items: these only if they are much of the document."""
+    import corpus_pipeline as P
+
+    rng = random.Random(11)
+    say = lambda k: " ".join(f"w{rng.randrange(3000)}" for _ in range(k))
+    item = say(40)
+    spark.createDataFrame([(1, item), (2, "three short words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    window = " ".join(item.split()[5:18])
+    less = " ".join(item.split()[5:17])
+    texts = [f"{say(1000)} {item} {say(1000)}", f"{say(600)} {window} {say(600)}", f"{say(600)} {less} {say(600)}", f"{say(200)} three short words {say(200)}", f"{say(20)} Three, short WORDS.", say(50), None, ""]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in P.without_benchmark(spark, docs, str(tmp_path)).collect()}
+    assert kept == {i: texts[i] for i in (2, 3, 5, 6, 7)}
+
+
+def test_stages_of_nulls_repeats_and_nothing(spark, corpus, tmp_path):
+    """Null and empty texts, null ids, rows that repeat, columns with clashing names, and an empty table."""
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").limit(40)
+    odd = spark.createDataFrame([(900, None, None, None, None), (901, "", "en", "s1", 0), (None, "words of a row without id", "en", None, 25), (None, None, None, None, None)], docs.schema)
+    folder = tmp_path / "odd"
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{corpus}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    rows = docs.unionByName(docs.limit(3)).unionByName(odd)
+    for c in ("score", "row", "component_id", "spans", "position", "tie", "copy"):
+        rows = rows.withColumn(c, rows.doc_id.cast("string"))
+    rows.write.parquet(f"{folder}/documents.parquet")
+    kept = rows.select(*P.COLUMNS)
+    for _, stage in P.STAGES[:3]:
+        kept = stage(spark, kept, str(folder)).cache()
+        assert kept.columns == list(P.COLUMNS) and {r.doc_id for r in kept.collect()} >= {900, 901, None}
+    out = P.run(spark, str(folder)).collect()
+    assert out and {900, 901}.isdisjoint(r.doc_id for r in out)
+    rows.limit(0).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    assert P.run(spark, str(folder)).count() == 0
+
+
 def test_run_lists_every_document_of_the_mix(spark, corpus):
     import corpus_pipeline as P
 
