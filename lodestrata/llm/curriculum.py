@@ -42,11 +42,6 @@ def targets(sizes: list[int], weights: list[float], budget: float = BUDGET, cap:
     return out
 
 
-def _ordered(rows: DataFrame, carried: int) -> list[str]:
-    """Carried columns that have an order."""
-    return [f"c{i}" for i in range(carried) if "map<" not in rows.schema[f"c{i}"].dataType.simpleString() and rows.schema[f"c{i}"].dataType.typeName() not in ("variant", "interval")]
-
-
 def planned(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP, carry: list[str] | None = None) -> DataFrame:
     """One row for each document: doc_id, size, source_size, target, taken, start, tilt, and the columns ``carry`` as c0, c1, ...
 
@@ -54,7 +49,7 @@ def planned(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float
     takes, repeats counted: the document where a source's demand ends is taken up to that
     word, so taken words sum to the target without its fraction.  ``start`` counts the words of the
     source before the document.  A null source is a source, the last one; sources of size 0 take
-    nothing.  Repeated rows are documents of their own; rows of one doc_id and text come in the order of their carried columns.  An empty table gives an empty result.
+    nothing.  Repeated rows are documents of their own; rows of one doc_id and text come in the order of a hash of their carried columns.  An empty table gives an empty result.
     The driver holds one row for each source.
     """
     carry = carry or []
@@ -64,6 +59,8 @@ def planned(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("turn"), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("tie"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)],
     )
+    hashable = [f"c{i}" for i in range(len(carry)) if not any(x in sized.schema[f"c{i}"].dataType.simpleString() for x in ("map<", "variant"))]
+    sized = sized.withColumn("more", F.xxhash64(*hashable) if hashable else F.lit(0).cast("long"))
     found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     many = max(BUCKET_ROWS, int(sum(r["n"] for r in found) ** 0.5))
@@ -80,14 +77,14 @@ def planned(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float
     sums = sized.groupBy("source_no", "bucket").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source_no", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source_no", "bucket").orderBy("turn", "tie", *_ordered(sized, len(carry))).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source_no", "bucket").orderBy("turn", "tie", "more").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.join(sums, ["source_no", "bucket"]).withColumn("start", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     demand = F.floor("target").cast("long")
     rounds = [F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), demand - F.col("start") - k * F.col("source_size"))) for k in range(cap)]
     taken = rounds[0]
     for r in rounds[1:]:
         taken = taken + r
-    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "start", "tilt", "tie", *[f"c{i}" for i in range(len(carry))])
+    return placed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "start", "tilt", "tie", "more", *[f"c{i}" for i in range(len(carry))])
 
 
 def position(start, words, target, tilt):
@@ -112,5 +109,5 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, ca
     text = F.col(f"c{names.index('text')}")
     cut = F.array_join(F.slice(F.split(text, r"(?<=\S)(?=\s)"), F.lit(1), F.col("words").cast("int")), "")
     held = F.when(F.col("words") < F.col("size"), cut).otherwise(text)
-    rows = rows.orderBy("position", "doc_id", "tie", *_ordered(rows, len(names)), "copy")
+    rows = rows.orderBy("position", "doc_id", "tie", "more", "copy")
     return rows.select(*[held.alias("text") if n == "text" else F.when(F.col("words") < F.col("size"), F.length(held)).otherwise(F.col(f"c{i}")).cast(docs.schema[n].dataType).alias(n) if n == "n_chars" else F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
