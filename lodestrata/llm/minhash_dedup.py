@@ -223,6 +223,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = scratch.keep(arrow_map(docs, _profiles(size, banding(percent)), _PROFILE), "profile")
 
+    slim = scratch.keep(profile.select("doc_id", "node", "n_shingles"), "slim")
+
     # A class is a set; its first document stands for it.
     classes = scratch.keep(profile.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes")
     first = profile.where("node is not null").join(classes.select(F.col("node").alias("n2"), "first_id"), (F.col("node") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
@@ -263,8 +265,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     least = named.groupBy("root").agg(F.min("first_id").alias("least_id"))
     label = named.join(least, "root").select("node", "least_id")
     label = scratch.keep(classes.join(label, "node", "left").select("node", F.coalesce("least_id", "first_id").alias("component_id")), "label")
-    scratch.drop("banded", "placed", "open", "pairs-1", "pairs-2", "links-1", "links-2", "signed", "classes", "sets-1", "sets-2")
-    slim = profile.select("doc_id", "node", "n_shingles")
+    scratch.drop("profile", "banded", "placed", "open", "pairs-1", "pairs-2", "links-1", "links-2", "signed", "classes", "sets-1", "sets-2")
     out = slim.join(label, "node", "left").select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
