@@ -92,8 +92,9 @@ def token_counts(blocks: DataFrame, end_id: int, kind: str = "<u2") -> DataFrame
     ``blocks`` needs file, block and ids.  Ids after a file's last end are a document without
     an end and give a row too.  Empty files give no row.
     """
+    scratch = Scratch(blocks.sparkSession, "separator-scan")
     s = arrow_map(blocks.select("file", "block", "ids"), _summaries(end_id, kind), "file int, block long, n long, ends long, head long, tail long, inner array<bigint>")
-    s = s.withColumn("run", F.floor(F.col("block") / RUN))
+    s = scratch.keep(s.withColumn("run", F.floor(F.col("block") / RUN)), "summaries")
     within = _scanned(s, ["file", "run"], "block")
     # A run as one block: what stands after its last end, or all its ids.
     whole = s.groupBy("file", "run").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"), F.max(F.when(F.col("ends") > 0, F.struct("block", "tail"))).alias("last"), F.max("block").alias("stop"))
