@@ -133,13 +133,50 @@ def test_top_k_equals_brute_force(spark):
     rows += [(50, [0.25] * 8), (900, None), (950, [1.0, None] * 4), (1000, [math.inf] * 8), (1050, [math.nan] * 8), (None, [1.0] * 8), (1100, [1.0])]
     df = clashing(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "uid", "cell", "score", "rank")
     got = sorted(tuple(r) for r in V.top_k(df, F.col("vec_id") % 50 == 0).collect())
-    good = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows if i is not None and v is not None and len(v) == 8 and all(x is not None and math.isfinite(x) for x in v)]
-    expected = []
+    assert got == nearest(rows, 50)
+
+
+def nearest(rows, every, k=5):
+    """Exact integers; the shorter of two vectors counts as filled up with zeros."""
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
     for a, (i, q) in enumerate(good):
-        if i % 50 == 0:
-            best = sorted((-int(q @ x), j) for b, (j, x) in enumerate(good) if b != a)[:5]
-            expected += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
-    assert got == sorted(expected)
+        if i % every == 0:
+            best = sorted((-sum(x * y for x, y in zip(q, v, strict=False)), j) for b, (j, v) in enumerate(good) if b != a)[:k]
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    return sorted(out)
+
+
+def test_top_k_of_large_components_and_other_lengths(spark):
+    """Components of 2**30 and more, whose products need more than a double, and vectors of five lengths."""
+    from lodestrata.llm.voronoi_knn import top_k
+
+    rng = random.Random(12)
+    rows = [(i, [rng.uniform(-1, 1) * rng.choice([1.0, 2.0**22, 9e6]) for _ in range(rng.choice([0, 1, 3, 4, 9]))]) for i in range(300)]
+    rows += [(300 + i, [2.0**22 + rng.randrange(2) / 256, 1.0 + i / 256]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in top_k(df, F.col("vec_id") % 20 == 0).collect()) == nearest(rows, 20)
+    wide = [(i, [2.0**53 * (1 if i % 2 else -1), float(i)]) for i in range(12)]  # products beyond a long
+    got = [tuple(r) for r in top_k(spark.createDataFrame(wide, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 3).collect()]
+    assert sorted(got) == [(0, 1, 2, 2**63 - 1), (0, 2, 4, 2**63 - 1), (0, 3, 6, 2**63 - 1)]
+
+
+def test_top_k_of_many_groups_sends_one_at_a_time(spark, monkeypatch):
+    """Five hundred groups of queries: each batch that leaves a task is for one group, and results stay exact."""
+    from lodestrata.llm import voronoi_knn as V
+
+    monkeypatch.setattr(V, "QUERY_ROWS", 1)
+    monkeypatch.setattr(V, "CHUNK_ROWS", 200)
+    rng = random.Random(13)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    assert sorted(tuple(r) for r in V.top_k(df, F.col("vec_id") % 2 == 0).collect()) == nearest(rows, 2)
+    import pyarrow as pa
+
+    q = [np.zeros(6, np.int64).tobytes()] * 400
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(range(400)), pa.array([True] * 400), pa.array(q, pa.binary()), pa.array([0] * 400, pa.int32()), pa.array([0.0] * 400)], names=["vec_id", "uid", "is_query", "q", "cell", "distance"])
+    out = list(V._sent(np.zeros((1, 6)), {0: (1.0, 0.0)}, [V._Group([0], t, 500, [0], 2) for t in range(500)])(iter([batch])))
+    assert len(out) > 500 and max(b.num_rows for b in out) == 400 and all(len(set(b.column(3).to_pylist())) == 1 for b in out)
 
 
 def test_top_k_prunes_but_stays_exact_on_clusters(spark):
