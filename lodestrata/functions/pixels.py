@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
 import numpy as np
 
 
@@ -21,16 +24,34 @@ def resized(image: np.ndarray, height: int, width: int) -> np.ndarray:
     return rows[:, x0] * (1 - fx)[None, :, None] + rows[:, x1] * fx[None, :, None]
 
 
-def encoder_input(image: np.ndarray, side: int = 256) -> np.ndarray:
-    """Shorter side to ``side``, centre crop, channels first, values from -1 to 1."""
+def centre_crop(image: np.ndarray, side: int = 256) -> np.ndarray:
+    """Shorter side to ``side``, then the square in the middle."""
     h, w = image.shape[:2]
     scale = side / min(h, w)
     big = resized(image, max(side, round(h * scale)), max(side, round(w * scale)))
     top, left = (big.shape[0] - side) // 2, (big.shape[1] - side) // 2
-    crop = big[top : top + side, left : left + side] / 255.0
+    return big[top : top + side, left : left + side]
+
+
+def encoder_input(image: np.ndarray, side: int = 256) -> np.ndarray:
+    """A centre crop, channels first, values from -1 to 1."""
+    crop = centre_crop(image, side) / 255.0
     return ((crop - 0.5) / 0.5).transpose(2, 0, 1).astype(np.float32)
 
 
+def png_bytes(image: np.ndarray) -> bytes:
+    """An RGB image (height, width, 3) as a PNG file; values are rounded to 8 bits."""
+    pixels = np.clip(np.floor(image + 0.5), 0, 255).astype(np.uint8)
+    height, width = pixels.shape[:2]
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    lines = np.concatenate([np.zeros((height, 1), np.uint8), pixels.reshape(height, -1)], axis=1)  # each line without a filter
+    head = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines.tobytes())) + chunk(b"IEND", b"")
+
+
 def storage_mb(files: int, elements: int, width: int = 2) -> float:
     return files * elements * width / 2**20
 

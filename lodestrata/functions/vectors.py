@@ -13,9 +13,17 @@ def dot(x: Column, y: Column) -> Column:
 
 
 def l2_normalised(x: Column) -> Column:
-    """Each vector over its length, in doubles; a zero vector stays zero."""
-    norm = F.sqrt(dot(x, x))
-    return F.when(norm > 0, F.transform(x, lambda v: v.cast("double") / norm)).otherwise(F.transform(x, lambda v: v.cast("double")))
+    """Each vector over its length, in doubles; a zero vector stays zero, a null is null.
+
+    A lambda over the components would take the norm anew for each of them.
+    """
+
+    @F.pandas_udf("array<double>")
+    def run(vectors: pd.Series) -> pd.Series:
+        rows = [None if v is None else np.asarray(v, np.float64) for v in vectors]
+        return pd.Series([v if v is None or not (norm := np.sqrt(v @ v)) > 0 else v / norm for v in rows], dtype=object)
+
+    return run(x)
 
 
 def distances_to(x: Column, centroids: np.ndarray) -> Column:
@@ -25,7 +33,8 @@ def distances_to(x: Column, centroids: np.ndarray) -> Column:
     @F.pandas_udf("array<double>")
     def run(vectors: pd.Series) -> pd.Series:
         rows = np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.empty((0, points.shape[1]))
-        return pd.Series(list(np.sqrt(((rows[:, None, :] - points[None]) ** 2).sum(axis=2))))
+        squares = (rows * rows).sum(axis=1)[:, None] + (points * points).sum(axis=1) - 2 * (rows @ points.T)
+        return pd.Series(list(np.sqrt(np.maximum(squares, 0))))
 
     return run(x)
 

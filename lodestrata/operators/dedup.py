@@ -8,20 +8,39 @@ removed stays removed.  Rows of different buckets never meet.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.hashing import hamming
+from lodestrata.sources.scratch import Scratch
+
+
+def _blocks(words: int, word_bits: int, threshold: int) -> list[list[int]]:
+    """Masks for each word that cut all bits into threshold + 1 blocks: hashes within the threshold agree in one of them."""
+    total, out = words * word_bits, []
+    for i in range(threshold + 1):
+        low, high = i * total // (threshold + 1), (i + 1) * total // (threshold + 1)
+        cut = [((1 << max(min(high, (w + 1) * word_bits) - w * word_bits, 0)) - 1) & ~((1 << max(low - w * word_bits, 0)) - 1) for w in range(words)]
+        out.append([m - (1 << 64) if m >> 63 else m for m in cut])
+    return out
 
 
-def near_pairs(hashes: DataFrame, words: tuple[str, ...], threshold: int, key: str = "row_id") -> DataFrame:
-    """Pairs of one bucket within the distance: a < b, distance."""
-    a = hashes.select("bucket", F.col(key).alias("a"), *[F.col(w).alias(f"a_{w}") for w in words])
-    b = hashes.select("bucket", F.col(key).alias("b"), *[F.col(w).alias(f"b_{w}") for w in words])
+def near_pairs(hashes: DataFrame, words: tuple[str, ...], threshold: int, key: str = "row_id", word_bits: int = 64) -> DataFrame:
+    """Pairs of one bucket within the distance: a < b, distance; each is found in the first block of bits that both share."""
+    blocks = _blocks(len(words), word_bits, threshold)
+    keys = F.array(*[F.xxhash64(*[F.col(w).bitwiseAND(F.lit(m).cast("long")) for w, m in zip(words, masks, strict=True)]) for masks in blocks])
+    hashes = hashes.where(F.col(words[0]).isNotNull()).select("bucket", key, *words, F.posexplode(keys).alias("block", "part"))
+    a = hashes.select("bucket", "block", "part", F.col(key).alias("a"), *[F.col(w).alias(f"a_{w}") for w in words])
+    b = hashes.select("bucket", "block", "part", F.col(key).alias("b"), *[F.col(w).alias(f"b_{w}") for w in words])
+    apart = [F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}")) for w in words]
+    shared = F.coalesce(*[F.when(reduce(lambda x, y: x & y, [x.bitwiseAND(F.lit(m).cast("long")) == 0 for x, m in zip(apart, masks, strict=True)]), F.lit(i)) for i, masks in enumerate(blocks)])
     distance = hamming(tuple(F.col(f"a_{w}") for w in words), tuple(F.col(f"b_{w}") for w in words))
-    return a.join(b, "bucket").where(F.col("a") < F.col("b")).withColumn("distance", distance).where(F.col("distance") <= threshold).select("a", "b", "distance")
+    pairs = a.join(b, ["bucket", "block", "part"]).where((F.col("a") < F.col("b")) & (distance <= threshold) & (shared == F.col("block")))
+    return pairs.select("a", "b", distance.alias("distance"))
 
 
 def greedy_losers(order: np.ndarray, words: np.ndarray, scores: np.ndarray, threshold: int) -> np.ndarray:
@@ -45,7 +64,7 @@ def greedy_dedup(hashes: DataFrame, words: tuple[str, ...], score: str, threshol
     """Adds ``is_duplicate``; rows with a null hash are never compared and stay.
 
     ``hashes`` has key, bucket, hash words and score.  Buckets of one row need no Python.
-    The order within a bucket is the operator's meaning, so a bucket is one task's work.
+    The hashes are written once and read three times.  The order within a bucket is the operator's meaning, so a bucket is one task's work.
     """
     schema = f"{key} long, is_duplicate boolean"
 
@@ -54,6 +73,7 @@ def greedy_dedup(hashes: DataFrame, words: tuple[str, ...], score: str, threshol
         gone = greedy_losers(rows[key].to_numpy(), rows[list(words)].to_numpy().astype(np.int64), rows[score].to_numpy(dtype=np.float64, na_value=np.nan), threshold)
         return pd.DataFrame({key: rows[key].to_numpy(), "is_duplicate": gone})
 
+    hashes = Scratch(hashes.sparkSession, "dedup").keep(hashes, "hashes")
     hashed = hashes.where(F.col(words[0]).isNotNull())
     sizes = hashed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     gone = hashed.join(sizes, "bucket", "left_semi").select(key, "bucket", *words, F.col(score).cast("double").alias(score)).groupBy("bucket").applyInPandas(run, schema)

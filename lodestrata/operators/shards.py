@@ -8,24 +8,23 @@ import json
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.sources.scratch import Scratch
 
-def assign_shards(df: DataFrame, shard_size: int, cluster: str = "cluster_id", key: str = "row_id", ranges: int = 64) -> DataFrame:
+
+def assign_shards(df: DataFrame, shard_size: int, cluster: str = "cluster_id", key: str = "row_id", ranges: int | None = None) -> DataFrame:
     """Adds ``shard``: the place of a row in its cluster, by key, over the shard size.
 
-    Places come in two levels: rows are counted by ranges of the key within a cluster, and
-    numbered within those, so that a large cluster is not one task.
+    Places come in two levels: rows are counted by ranges of cluster and key, as many as the session's
+    shuffle partitions, and numbered within those, so that a large cluster is not one task.
     """
-    bounds = df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.001) if ranges > 1 else []
-    part = F.lit(0)
-    for b in sorted(set(bounds)):
-        part = part + (F.col(key) > b).cast("int")
-    parted = df.withColumn("part", part)
-    counts = parted.groupBy(cluster, "part").agg(F.count("*").alias("n"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(ranges, cluster, key).sortWithinPartitions(cluster, key).withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id())
+    ordered = Scratch(df.sparkSession, "shards").keep(ordered, "ordered")
+    counts = ordered.groupBy(cluster, "part").agg(F.count("*").alias("n"), F.min("seq").alias("low"))
     before = Window.partitionBy(cluster).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(cluster, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    place = F.row_number().over(Window.partitionBy(cluster, "part").orderBy(key)) - 1
-    out = parted.withColumn("place", place).join(F.broadcast(starts), [cluster, "part"])
-    return out.withColumn("shard", F.floor((F.col("begin") + F.col("place")) / shard_size)).drop("part", "begin", "place")
+    starts = counts.select(cluster, "part", "low", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    place = F.col("begin") + F.col("seq") - F.col("low")
+    return ordered.join(F.broadcast(starts), [cluster, "part"]).withColumn("shard", F.floor(place / shard_size)).drop("part", "begin", "low", "seq")
 
 
 def shard_counts(assigned: DataFrame, cluster: str = "cluster_id") -> DataFrame:

@@ -177,7 +177,7 @@ def simhash_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM hashes x JOIN hashes y ON x.bucket = y.bucket AND x.doc_id < y.doc_id WHERE bit_count(xor(x.hi, y.hi)) + bit_count(xor(x.lo, y.lo)) <= 6
 """)
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_pairs(bucketed(spark, sf_dir), ("hi", "lo"), 6, "doc_id")
+    return near_pairs(bucketed(spark, sf_dir), ("hi", "lo"), 6, "doc_id", 32)
 
 
 _GREEDY = f"""
