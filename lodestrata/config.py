@@ -6,13 +6,21 @@ from dataclasses import dataclass, field, fields
 from pathlib import Path
 
 
+#: Settings that a file must have: others have defaults, these decide what a run is.
+REQUIRED = ("num_samples", "min_aesthetic_score", "min_resolution", "caption_model", "text_model", "image_model", "latent_model", "num_clusters", "shard_size", "work_dir", "image_dir", "random_seed")
+
+
 class ConfigError(ValueError):
     """A setting is missing, unknown or of the wrong type."""
 
 
 @dataclass(frozen=True)
 class CurationConfig:
-    """Settings of all stages; directories may be any path that Spark can open."""
+    """Settings of all stages; directories may be any path that Spark can open.
+
+    A model is "stub" or ``module:factory``; several, with commas between, are tried in turn for want of
+    memory.  With ``index_path``, ``fetch`` names a function of a url that returns bytes.
+    """
 
     work_dir: str = "work"
     index_path: str = ""
@@ -40,6 +48,19 @@ class CurationConfig:
     text_model: str = "stub"
     image_model: str = "stub"
     latent_model: str = "stub"
+    unsafe_model: str = "stub"
+    latent_codec: str = "stub"
+    fetch: str = ""
+    fetch_threads: int = 16
+    fetch_retries: int = 1
+    image_size: int = 256
+    index_streaming: bool = False
+    retry_attempts: int = 3
+    retry_backoff: float = 5.0
+    text_tokens: int = 77
+    text_dim: int = 8
+    gpus: float = 0.0
+    score_names: tuple = ()
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.config import CurationConfig
 from lodestrata.operators.shards import version_tag
+from lodestrata.sources.store import put_bytes
 
 
 def shard_health(expected: DataFrame, found: DataFrame) -> DataFrame:
@@ -43,5 +44,4 @@ def quality_report(rows: list[dict], silhouette: float | None, davies_bouldin: f
 
 
 def write_json(path: str, document: dict) -> None:
-    with open(path, "w") as f:
-        json.dump(document, f, indent=2)
+    put_bytes(path, json.dumps(document, indent=2).encode())

@@ -7,6 +7,7 @@ that runs once in each task.  A row that a model fails on gets null, never anoth
 from __future__ import annotations
 
 import hashlib
+import importlib
 import logging
 from collections.abc import Callable, Iterator
 
@@ -48,6 +49,19 @@ def apply_model(df: DataFrame, factory: Callable[[], Callable[[pd.Series], list]
     return df.mapInPandas(run, schema, profile=profile)
 
 
+def named(name: str, stub: Callable) -> Callable:
+    """The factory that a setting names: the stub, or ``module:factory``; of several, with commas between, the first that fits."""
+    if name == "stub":
+        return stub
+    found = []
+    for one in name.split(","):
+        module, _, attribute = one.strip().partition(":")
+        if not attribute:
+            raise ValueError(f"{one}: module:factory is needed")
+        found.append(getattr(importlib.import_module(module), attribute))
+    return with_fallback(*found) if len(found) > 1 else found[0]
+
+
 def with_fallback(*factories: Callable[[], Callable]) -> Callable[[], Callable]:
     """The first factory that does not run out of memory."""
 
@@ -90,16 +104,22 @@ def stub_unsafe_scores() -> Callable[[pd.Series], list]:
     return lambda keys: [[{"label": "nsfw", "score": 0.0}] for _ in keys]
 
 
+def stub_codec() -> tuple[Callable[[np.ndarray], np.ndarray], Callable[[np.ndarray], np.ndarray]]:
+    """Decoder and encoder of the stub latents: pixels are the latents themselves, from -1 to 1."""
+    return (lambda z: z), (lambda pixels: (pixels - 0.5) / 0.5)
+
+
 def latent_to_pixels(latent: np.ndarray, scale: float, decode: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Undo the scale, decode, and clip to [0, 1]."""
     return np.clip(decode(latent / scale) * 0.5 + 0.5, 0, 1)
 
 
-def reconstruction_errors(latents: DataFrame, scale: float, decode: Callable[[np.ndarray], np.ndarray], encode: Callable[[np.ndarray], np.ndarray], shape: tuple[int, ...] = (4, 32, 32), n: int = 10, seed: int = 42) -> DataFrame:
-    """image_id and error of a sample: how far the encoding of a decoded latent is from it."""
+def reconstruction_errors(latents: DataFrame, scale: float, codec: Callable[[], tuple], shape: tuple[int, ...] = (4, 32, 32), n: int = 10, seed: int = 42) -> DataFrame:
+    """image_id and error of a sample: how far the encoding of a decoded latent is from it; ``codec`` makes decoder and encoder, once in each task."""
     from lodestrata.operators.sampling import exact_sample
 
     def run(frames: Batch) -> Batch:
+        decode, encode = codec()
         for frame in frames:
             errors = []
             for data in frame["latent"]:

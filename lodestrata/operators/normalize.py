@@ -36,14 +36,14 @@ def detect_column(columns: list[str], names: tuple[str, ...]) -> str | None:
     return next((c for c in columns if c.lower() in wanted), None)
 
 
-def normalize_by_column(df: DataFrame, min_score: float, keep_null_scores: bool = False) -> DataFrame:
+def normalize_by_column(df: DataFrame, min_score: float, keep_null_scores: bool = False, score_names: tuple[str, ...] = SCORE_NAMES) -> DataFrame:
     """One column for each field, found by name in table order; rows below the least score go.
 
-    A table without url is an error; without caption it is empty, without score all rows have the least one.
+    ``score_names`` may leave out names of scores on another scale.  A table without url is an error; without caption it is empty, without score all rows have the least one.
     """
     table, names = _positions(df)
     found = {}
-    for field, synonyms in (("url", URL_NAMES), ("caption", CAPTION_NAMES), ("score", SCORE_NAMES)):
+    for field, synonyms in (("url", URL_NAMES), ("caption", CAPTION_NAMES), ("score", score_names)):
         name = detect_column(names, synonyms)
         found[field] = None if name is None else F.col(f"c{names.index(name)}")
     if found["url"] is None:
@@ -54,7 +54,7 @@ def normalize_by_column(df: DataFrame, min_score: float, keep_null_scores: bool
     return score_filter(out, min_score, keep_null_scores)
 
 
-def normalize_by_value(df: DataFrame, min_score: float) -> DataFrame:
+def normalize_by_value(df: DataFrame, min_score: float, score_names: tuple[str, ...] = SCORE_NAMES) -> DataFrame:
     """For each row the first value present, in order of preference; rows without url or below the least score go."""
     table, names = _positions(df)
 
@@ -62,7 +62,7 @@ def normalize_by_value(df: DataFrame, min_score: float) -> DataFrame:
         columns = [F.col(f"c{names.index(n)}") for n in synonyms if n in names]
         return first_present(*columns) if columns else F.lit(None).cast("string")
 
-    out = table.select(present(URL_NAMES).alias("url"), F.coalesce(present(CAPTION_NAMES), F.lit("")).alias("caption"), coerce_score(present(SCORE_NAMES)).alias("aesthetic_score"))
+    out = table.select(present(URL_NAMES).alias("url"), F.coalesce(present(CAPTION_NAMES), F.lit("")).alias("caption"), coerce_score(present(score_names)).alias("aesthetic_score"))
     return score_filter(out.where(F.coalesce("url", F.lit("")) != ""), min_score, True)
 
 

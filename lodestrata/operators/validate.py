@@ -44,14 +44,37 @@ def check_ingest(df: DataFrame, min_score: float) -> None:
         raise ValidationError("all scores are 0 or less")
 
 
+def check_files(df: DataFrame, found: DataFrame, path: str = "image_path", what: str = "table") -> None:
+    """Raise unless each row's file is among those found."""
+    row = df.join(found.select(path), path, "left_anti").agg(F.count("*").alias("n"), F.min(path).alias("first")).head()
+    if row["n"]:
+        raise ValidationError(f"{what}: {row['n']} files are missing, the first is {row['first']}")
+
+
+def check_captions(df: DataFrame, caption: str = "synthetic_caption", encoding: str = "clip_emb") -> None:
+    """Raise unless each row has a path, a caption and an encoding."""
+    check_no_nulls(df, ["image_path", caption, encoding], "captioned table")
+
+
+def check_document(document: dict | None, what: str) -> dict:
+    if not document:
+        raise ValidationError(f"{what} is missing or empty")
+    return document
+
+
+def cluster_counts(df: DataFrame, dim: int, vector: str = "embedding", cluster: str = "cluster_id") -> DataFrame:
+    """One row: n, clusters, odd_vectors (of another length), null_vectors."""
+    return df.agg(F.count("*").alias("n"), F.countDistinct(cluster).alias("clusters"), F.count_if(F.size(vector) != dim).alias("odd_vectors"), F.count_if(F.col(vector).isNull()).alias("null_vectors"))
+
+
 def check_clusters(df: DataFrame, k: int, dim: int, vector: str = "embedding", cluster: str = "cluster_id") -> DataFrame:
     """Raise unless there are exactly k clusters and vectors of the right length; returns clusters under 5 % of the rows."""
     check_no_nulls(df, [cluster, vector], "clustered table")
-    row = df.agg(F.countDistinct(cluster).alias("k"), F.count_if(F.size(vector) != dim).alias("odd"), F.count("*").alias("n")).head()
-    if row["k"] != k:
-        raise ValidationError(f"{row['k']} clusters, {k} expected")
-    if row["odd"]:
-        raise ValidationError(f"{row['odd']} vectors have another length than {dim}")
+    row = cluster_counts(df, dim, vector, cluster).head()
+    if row["clusters"] != k:
+        raise ValidationError(f"{row['clusters']} clusters, {k} expected")
+    if row["odd_vectors"]:
+        raise ValidationError(f"{row['odd_vectors']} vectors have another length than {dim}")
     return imbalance(df, cluster)
 
 

@@ -35,7 +35,7 @@ def list_images(spark: SparkSession, root: str) -> DataFrame:
 
 def image_structs(spark: SparkSession, root: str) -> DataFrame:
     """image_path and image, Spark's struct of sizes and pixels; sizes are -1 for a file that can't be decoded."""
-    image = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(root)
+    image = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{jpg,png,webp}").option("dropInvalid", "false").load(root)
     origin = F.regexp_replace("image.origin", "^file:/+", "file:/")  # as listings spell it
     return image.select(origin.alias("image_path"), "image")
 

@@ -7,11 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.operators.normalize import normalize_by_value
+from lodestrata.operators.normalize import SCORE_NAMES, normalize_by_value
 from lodestrata.operators.sampling import exact_sample
 
 
-def ingest_stream(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, min_score: float) -> None:
+def ingest_stream(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, min_score: float, score_names: tuple[str, ...] = SCORE_NAMES) -> None:
     """Read all new Parquet files below ``source``, normalise them and append to ``target``.
 
     Offsets in ``checkpoint`` stand for what was consumed, so that rejected rows are not read
@@ -19,7 +19,7 @@ def ingest_stream(spark: SparkSession, source: str, schema: str, target: str, ch
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        normalize_by_value(batch, min_score).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        normalize_by_value(batch, min_score, score_names).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     stream = spark.readStream.schema(schema).parquet(source)
     query = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -241,7 +241,7 @@ def test_encoder_input_and_shapes():
 
 def test_reconstructions_are_measured(spark):
     latents = spark.createDataFrame([(f"i{k}", bytearray(np.full((4, 32, 32), k, np.float16).tobytes())) for k in range(12)], "image_id string, latent binary")
-    rows = M.reconstruction_errors(latents, 1.0, lambda x: x * 0, lambda x: np.zeros((4, 32, 32)), n=5).collect()
+    rows = M.reconstruction_errors(latents, 1.0, lambda: (lambda x: x * 0, lambda x: np.zeros((4, 32, 32))), n=5).collect()
     assert len(rows) == 5 and all(r.error == float(r.image_id[1:]) for r in rows)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import tarfile
 
 import numpy as np
@@ -156,3 +157,90 @@ def test_shards_of_other_names_may_stay(spark, tmp_path):
     (old / "shard-0000.tar").write_bytes(b"old")
     write_tars(df, str(tmp_path / "s"), clean=False)
     assert (old / "shard-0000.tar").read_bytes() == b"old" and (tmp_path / "s" / "cluster_0" / "shard-0000.tar").exists()
+
+
+NAMED = """
+def caption_by_name():
+    return lambda paths: [f"seen {p}" for p in paths]
+
+def too_large():
+    raise MemoryError
+
+def local_bytes(url):
+    if "dead" in url:
+        raise OSError("gone")
+    with open(url.removeprefix("fake://"), "rb") as f:
+        return f.read()
+"""
+
+
+@pytest.fixture(scope="module")
+def named(spark, tmp_path_factory):
+    """A module of models and a fetch function that driver and tasks can import."""
+    path = tmp_path_factory.mktemp("named") / "named_models.py"
+    path.write_text(NAMED)
+    spark.sparkContext.addPyFile(str(path))
+    return "named_models"
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_from_index_to_raw_table(spark, images, named, streaming):
+    """Index, fetch, shard folders with sidecars, centre crops, listing; dead urls and files that are no images cost only themselves."""
+    work = images / "work"
+    files = [f"fake://{images}/images/000/p{i:02d}.png" for i in range(20)]
+    rows = [(u, f"cap {i}", str(6 + i % 3)) for i, u in enumerate([*files, "fake://dead", f"fake://{images}/images/000/notes.jpeg", f"fake://{images}/images/000/broken.png"])]
+    spark.createDataFrame([*rows, ("fake://low", "c", "1")], "URL string, TEXT string, AESTHETIC_SCORE string").write.parquet(str(images / "index"))
+    config = CurationConfig(work_dir=str(work), index_path=str(images / "index"), image_dir=str(work / "crops256"), fetch=f"{named}:local_bytes", num_samples=20, image_size=32, index_streaming=streaming)
+    run = P.Run(spark, config)
+    metrics = P.run_stages(run, [1])["ingest"]
+    assert (metrics["candidates"], metrics["fetch_errors"], metrics["downloaded"]) == (23, 2, 20)
+    raw = run.table("raw").collect()
+    assert sorted(r.original_caption for r in raw) == sorted(f"cap {i}" for i in range(20)) and {r.url for r in raw} == set(files) and all(6 <= r.aesthetic_score <= 8 for r in raw)
+    from lodestrata.sources.images import decode_images
+
+    assert {(r.width, r.height) for r in decode_images(spark, config.image_dir).collect()} == {(32, 32)}
+    assert P.run_stages(run, [1])["ingest"]["downloaded"] == 20
+    assert (work / "downloads/00000").is_dir()
+
+
+def test_models_by_name_and_router_arrays(spark, images, named):
+    """A caption model named by the settings, one that does not fit before it; all arrays of the router and the centroids."""
+    work = images / "work"
+    config = CurationConfig(
+        work_dir=str(work), image_dir=str(images / "images"), num_samples=30, min_resolution=32, min_aesthetic_score=5.0, num_clusters=2, kmeans_n_init=2, kmeans_max_iter=20, embedding_dim=8, shard_size=5, caption_model=f"{named}:too_large, {named}:caption_by_name",
+    )
+    run = P.Run(spark, config)
+    metrics = P.run_stages(run, [1, 2, 3, 4, 5, 6, 7])
+    assert all(r.synthetic_caption.startswith("seen ") for r in run.table("captioned").collect()) 
+    clipped = 2 * (math.exp(-0.5) / math.sqrt(2 * math.pi) - 0.5 * math.erfc(math.sqrt(0.5)))  # what a normal variable loses when it is held between -1 and 1
+    assert metrics["encode"]["reconstruction_error"] == pytest.approx(0.18215 * clipped, rel=0.03)
+    ordered = run.table("clustered").orderBy("row_id").collect()
+    load = lambda name: np.load(work / f"router_training/{name}.npy")
+    assert load("image_ids").tolist() == [r.image_id for r in ordered] and load("cluster_labels").tolist() == [r.cluster_id for r in ordered]
+    assert np.allclose(load("dinov2_embeddings"), [r.embedding for r in ordered], atol=1e-2) and load("clip_text_embeddings").shape == (24, 77, 8)
+    assert np.load(work / "kmeans_centroids.npy").shape == (2, 8)
+    with pytest.raises(ValueError, match="module:factory"):
+        P.M.named("nothing", P.M.stub_caption)
+
+
+def test_cli_needs_its_settings(tmp_path, capsys):
+    from lodestrata.config import REQUIRED, ConfigError
+
+    path = tmp_path / "c.yaml"
+    path.write_text("num_samples: 3\nwork_dirr: x\n")
+    assert P.main(["--config", str(path)]) == 1
+    with pytest.raises(ConfigError, match="work_dir"):
+        P.main(["--config", str(path), "--dry-run"])
+    path.write_text("".join(f"{k}: 1\n" for k in REQUIRED))
+    assert P.main(["--config", str(path), "--dry-run"]) == 0
+
+
+def test_checks_of_files_captions_and_documents(spark):
+    from lodestrata.operators import validate as V
+
+    rows = spark.createDataFrame([("a", "c", None), ("b", "c", bytearray(b"x"))], "image_path string, synthetic_caption string, clip_emb binary")
+    for check in (lambda: V.check_files(rows, rows.where("image_path = 'a'")), lambda: V.check_captions(rows), lambda: V.check_document(None, "quality"), lambda: V.check_document({}, "quality")):
+        with pytest.raises(V.ValidationError):
+            check()
+    V.check_files(rows, rows)
+    V.check_captions(rows.where("clip_emb is not null"))
