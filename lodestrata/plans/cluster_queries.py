@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.config import CurationConfig
+from lodestrata.functions.pixels import storage_mb
 from lodestrata.functions.vectors import distances_to, l2_normalised
 from lodestrata.operators import cluster as C
 from lodestrata.operators import quality as Q
+from lodestrata.operators.manifest import build_manifest
 from lodestrata.operators.manifest import shard_health as health
 from lodestrata.operators.sampling import sample_by_group
 from lodestrata.operators.shards import assign_shards
 from lodestrata.operators.shards import shard_counts as counted
-from lodestrata.operators.validate import imbalance
+from lodestrata.operators.validate import cluster_counts, imbalance
+from lodestrata.operators.viewer import entry, entry_filter, page
 from lodestrata.plans.registry import query, table
+from lodestrata.sources.arrays import export_npy, import_npy
+from lodestrata.sources.images import with_row_id
+from lodestrata.sources.scratch import Scratch
+from lodestrata.sources.tar_shards import write_tars
 
 _UNIT = """
     parts AS (SELECT vec_id, label AS cluster_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
@@ -133,12 +142,20 @@ def inertia(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned(spark, sf_dir).agg(F.round(F.sum(F.col("cluster_distance") * F.col("cluster_distance")), 6).alias("inertia"))
 
 
-@query()
+@query(f"""
+    WITH {_UNIT} SELECT 8::BIGINT AS clusters, (SELECT count(*) FROM embeddings) AS n, true AS below_one_cluster, true AS centroids_are_means FROM (SELECT 1)
+""")
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes and cost of the best of three fits; held to its cost in the tests, labels being arbitrary."""
-    model, cost = C.fit_kmeans(unit_rows(spark, sf_dir), 8, [42, 43, 44], 100, "vec_id")
-    sizes = model.summary.cluster.groupBy(F.col("prediction").alias("cluster_id")).agg(F.count("*").alias("n"))
-    return sizes.withColumn("cost", F.lit(round(cost, 3)))
+    """What holds of the best of three fits whatever its labels: clusters, rows, a cost below that of one cluster, centroids that are their rows' means."""
+    unit = unit_rows(spark, sf_dir).drop("cluster_id")
+    model, cost = C.fit_kmeans(unit, 8, [42, 43, 44], 100, "vec_id")
+    labelled = model.transform(unit.withColumn("features", C.array_to_vector("unit"))).withColumnRenamed("prediction", "cluster_id")
+    ids, means = C.centroid_matrix(C.centroids(labelled))
+    _, one = C.centroid_matrix(C.centroids(unit.withColumn("cluster_id", F.lit(0))))
+    n = unit.count()
+    single = n * (1 - float((one @ one.T)[0, 0]))  # of unit vectors: n less the square of their mean's length
+    near = len(ids) == 8 and bool(np.abs(means - np.array(model.clusterCenters())).max() < 0.05)
+    return spark.createDataFrame([(len(ids), n, cost < single, near)], "clusters long, n long, below_one_cluster boolean, centroids_are_means boolean")
 
 
 @query("SELECT label, vec_id FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY md5('42|' || vec_id), vec_id) AS k FROM embeddings) WHERE k <= 25")
@@ -163,11 +180,16 @@ def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted(sharded(spark, sf_dir))
 
 
-@query("SELECT vec_id AS row_id, label AS cluster_id, 'img' || vec_id AS image_id, round(embedding[1]::DOUBLE, 6) AS first_component FROM embeddings")
+@query("""
+    SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row_id, label AS cluster_id, 'img' || vec_id AS image_id, round(embedding[1]::DOUBLE, 6) AS first_component, round(embedding[len(embedding)]::DOUBLE, 6) AS last_component FROM embeddings
+""")
 def router_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Label, id and vector of each row stay on the row; one order serves all exports."""
-    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), F.col("label").alias("cluster_id"), F.concat(F.lit("img"), F.col("vec_id")).alias("image_id"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first_component"))
-    return rows.orderBy("row_id")
+    """Label, id and vector of each row in one order: the vectors go out to an array file and come back from it."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("cluster_id"), F.concat(F.lit("img"), F.col("vec_id")).alias("image_id"), "embedding")
+    path = Scratch(spark, "router").path("embeddings.npy")
+    export_npy(rows, path, "embedding", "vec_id", "float32", (rows.agg(F.max(F.size("embedding"))).head()[0],))
+    ends = import_npy(spark, path).select("row_id", *[F.round(F.element_at("embedding", i).cast("double"), 6).alias(c) for i, c in ((1, "first_component"), (-1, "last_component"))])
+    return with_row_id(rows.drop("embedding"), "vec_id").drop("vec_id").join(ends, "row_id")
 
 
 @query(f"""
@@ -181,49 +203,49 @@ def shard_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health(paths, found)
 
 
-@query()
+@query("""
+    SELECT 'cluster_' || cluster_id || '/shard-' || lpad(shard::VARCHAR, 4, '0') || '.tar' AS path, count(*) AS n
+    FROM (SELECT label AS cluster_id, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) // 100 AS shard FROM embeddings) GROUP BY ALL
+""")
 def tar_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write tar shards of all vectors into the shared folder: path, rows, digest."""
-    import uuid
-
-    from lodestrata.session import shared_folder
-    from lodestrata.sources.tar_shards import write_tars
-
+    """Write tar shards of all vectors into the shared folder and list what is there: path, rows."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("cluster_id"), "embedding")
-    rows = assign_shards(rows, 100, key="vec_id", ranges=8)
+    rows = assign_shards(rows, 100, key="vec_id")
     text = F.to_json("embedding").cast("binary")
     samples = rows.select("cluster_id", "shard", F.format_string("%08d", "vec_id").alias("image_id"), text.alias("latent"), text.alias("clip_emb"), F.lit("").alias("caption"), F.to_json(F.struct("cluster_id")).alias("metadata"))
-    return write_tars(samples, f"{shared_folder(spark)}/tar-{uuid.uuid4().hex}/expert_shards")
+    return write_tars(samples, Scratch(spark, "tar").path("expert_shards")).select("path", "n")
 
 
 @query("SELECT count(*) AS total, count(DISTINCT label) AS num_clusters, max(n) AS largest, min(n) AS smallest, sum((n + 999) // 1000)::BIGINT AS n_shards FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY label) JOIN embeddings USING (label)".replace("sum((n + 999) // 1000)::BIGINT", "(SELECT sum((m + 999) // 1000)::BIGINT FROM (SELECT count(*) AS m FROM embeddings GROUP BY label))"))
 def manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measured totals of the manifest."""
+    """Totals of the manifest, from its measured counts."""
     sizes = Q.cluster_sizes(table(spark, sf_dir, "embeddings").select(F.col("label").alias("cluster_id")))
-    return sizes.agg(F.sum("n").alias("total"), F.count("*").alias("num_clusters"), F.max("n").alias("largest"), F.min("n").alias("smallest"), F.sum(F.floor((F.col("n") + 999) / 1000)).alias("n_shards"))
+    counts = [n for n in build_manifest(CurationConfig(), sizes, {}, None, {})["images_per_cluster"] if n]
+    row = (sum(counts), len(counts), max(counts, default=None), min(counts, default=None), sum(-(-n // 1000) for n in counts))
+    return spark.createDataFrame([row], "total long, num_clusters long, largest long, smallest long, n_shards long")
 
 
 @query("SELECT round(sum(len(embedding) * 2) / 1048576.0::DOUBLE, 6) AS latents_mb, count(*) AS n FROM embeddings")
 def latent_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Megabytes of all tensors at half precision, from their real lengths."""
-    return table(spark, sf_dir, "embeddings").agg(F.round(F.sum(F.size("embedding") * 2) / 1048576.0, 6).alias("latents_mb"), F.count("*").alias("n"))
+    row = table(spark, sf_dir, "embeddings").agg(F.sum(F.size("embedding")).alias("elements"), F.count("*").alias("n")).head()
+    return spark.createDataFrame([(round(storage_mb(1, row["elements"] or 0), 6), row["n"])], "latents_mb double, n long")
 
 
 @query(f"""
-    WITH {_UNIT} SELECT vec_id, cluster_id, round(d, 6) AS cluster_distance FROM dist WHERE own = cluster_id AND d >= 0.9 AND vec_id > 100 ORDER BY vec_id LIMIT 50
+    WITH {_UNIT} SELECT vec_id, cluster_id, round(d, 6) AS cluster_distance FROM dist WHERE own = cluster_id AND d <= 0.98 AND vec_id > 100 ORDER BY vec_id LIMIT 50
 """)
 def entry_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page of filtered entries after a known row."""
-    rows = assigned(spark, sf_dir).where((F.col("cluster_distance") >= 0.9) & (F.col("vec_id") > 100)).orderBy("vec_id").limit(50)
+    rows = page(assigned(spark, sf_dir).where(entry_filter(max_distance=0.98)), 100, 50, "vec_id")
     return rows.select("vec_id", "cluster_id", F.round("cluster_distance", 6).alias("cluster_distance"))
 
 
 @query("SELECT vec_id, label, len(embedding)::INTEGER AS dim FROM embeddings WHERE vec_id = 7")
 def entry_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").where("vec_id = 7").select("vec_id", "label", F.size("embedding").alias("dim"))
+    return entry(table(spark, sf_dir, "embeddings"), 7, "vec_id").select("vec_id", "label", F.size("embedding").alias("dim"))
 
 
 @query("SELECT count(*) AS n, count(DISTINCT label) AS clusters, count(*) FILTER (WHERE len(embedding) <> 64) AS odd_vectors, count(*) FILTER (WHERE embedding IS NULL) AS null_vectors FROM embeddings")
 def validate_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings")
-    return rows.agg(F.count("*").alias("n"), F.countDistinct("label").alias("clusters"), F.count_if(F.size("embedding") != 64).alias("odd_vectors"), F.count_if(F.col("embedding").isNull()).alias("null_vectors"))
+    return cluster_counts(table(spark, sf_dir, "embeddings"), 64, cluster="label")

@@ -13,7 +13,7 @@ from lodestrata.operators.filters import reject_reason, rejection_counts, unsafe
 from lodestrata.operators.joins import attach, missing, missing_summary, present
 from lodestrata.operators.normalize import normalize_by_column, normalize_by_value, score_filter, with_sidecar
 from lodestrata.operators.sampling import exact_sample, oversampled
-from lodestrata.operators.shards import metadata_json
+from lodestrata.operators.shards import metadata_json, version_tag
 from lodestrata.operators.validate import ingest_summary, null_counts
 from lodestrata.plans.registry import query, table
 from lodestrata.sources.images import ranked_paths
@@ -37,17 +37,19 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT 'http://h/' || doc_id AS url, CASE WHEN doc_id % 3 = 0 THEN lang ELSE source END AS caption, coalesce(score, 2.0) AS aesthetic_score
-    FROM ({_SCORED}) WHERE doc_id % 5 <> 0 AND coalesce(score, 2.0) >= 2.0
+    SELECT url, caption, aesthetic_score FROM (
+        SELECT coalesce(CASE WHEN doc_id % 2 = 0 THEN 'http://h/' || doc_id END, CASE WHEN doc_id % 5 <> 0 THEN 'http://h/' || doc_id END) AS url,
+               CASE WHEN doc_id % 3 = 0 THEN lang ELSE source END AS caption, coalesce(score, 2.0) AS aesthetic_score FROM ({_SCORED})
+    ) WHERE url IS NOT NULL AND aesthetic_score >= 2.0
 """)
 def normalize_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields by the first value present, null scores kept at the least one."""
+    """Fields by the first value present, null scores kept at the least one; rows with neither url go."""
     url = F.concat(F.lit("http://h/"), F.col("doc_id"))
     wide = scored(spark, sf_dir).select(
         F.when(F.col("doc_id") % 2 == 0, url).alias("URL"), F.when(F.col("doc_id") % 5 != 0, url).alias("url"), F.lit(None).cast("string").alias("TEXT"),
-        F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.col("source")).alias("text"), F.col("lang").alias("caption"), F.col("score").alias("aesthetic_score"), (F.col("doc_id") % 5 == 0).alias("gone"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.col("source")).alias("text"), F.col("lang").alias("caption"), F.col("score").alias("aesthetic_score"),
     )
-    return normalize_by_value(wide.where(~F.col("gone")).drop("gone"), 2.0)
+    return normalize_by_value(wide, 2.0)
 
 
 @query(f"SELECT source AS url, lang AS caption, score AS aesthetic_score FROM ({_SCORED}) WHERE score >= 5.0")
@@ -78,7 +80,9 @@ def score_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT page_id, url FROM pages WHERE url IS NOT NULL AND url <> ''")
 def url_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url").where(F.coalesce("url", F.lit("")) != "")
+    """Rows of an index that have a url; their number goes along as the caption."""
+    rows = normalize_by_value(table(spark, sf_dir, "pages").select("url", F.col("page_id").cast("string").alias("caption")), 0.0)
+    return rows.select(F.col("caption").cast("long").alias("page_id"), "url")
 
 
 @query(r"SELECT page_id, regexp_extract(regexp_replace(url, '[?#].*$', '') || '.jpg', '([^/]+?)(\.[^./]*)?$', 1) AS stem FROM pages")
@@ -263,15 +267,14 @@ def content_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'v1.0.0-' || substr(sha256(string_agg(source || '=' || c, ',' ORDER BY source)), 1, 8) AS tag
-    FROM (SELECT source, sum((('0x' || substr(sha256(text), 1, 8))::BIGINT))::BIGINT AS c FROM documents GROUP BY source)
+    SELECT 'v1.0.0-' || substr(sha256('{' || coalesce(string_agg('"' || source || '": "' || c || '"', ', ' ORDER BY source), '') || '}'), 1, 8) AS tag
+    FROM (SELECT source, sum((('0x' || substr(sha256(text), 1, 8))::BIGINT))::BIGINT AS c FROM documents WHERE source IS NOT NULL GROUP BY source)
 """)
 def version_tag_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tag of all content: sums of digests for each source, then one digest over the few sources."""
+    """A tag of all content: the sources' sums of digests stand for the shards' checksums."""
     part = F.conv(F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 8), 16, 10).cast("long")
-    sums = table(spark, sf_dir, "documents").groupBy("source").agg(F.sum(part).alias("c"))
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("source", "c"))), lambda x: F.concat_ws("=", x["source"], x["c"].cast("string")))
-    return sums.agg(F.concat(F.lit("v1.0.0-"), F.substring(F.sha2(F.concat_ws(",", lines).cast("binary"), 256), 1, 8)).alias("tag"))
+    sums = table(spark, sf_dir, "documents").where("source is not null").groupBy("source").agg(F.sum(part).alias("c")).collect()
+    return spark.createDataFrame([(version_tag({r["source"]: str(r["c"]) for r in sums}),)], "tag string")
 
 
 @query(f"""
