@@ -16,20 +16,18 @@ found by one look at the bits between two samples.  Names (doc_ids) take as many
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm._common import Scratch, arrow_map, sized_batches
 from lodestrata.llm._encode import encoder as shared_encoder
+from lodestrata.sources import store
 
 MAGIC = b"LSEF"
 HEADER = struct.Struct("<4sIQQIIQIIq")
@@ -157,35 +155,11 @@ class TokenFile:
         return np.concatenate([np.empty(0, np.int64), *(ends for ends, _ in self.blocks())])
 
 
-def _store(root: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder that Spark names, for Python tasks."""
-    if "://" not in root or root.startswith("file:"):
-        return fs.LocalFileSystem(), urlsplit(root).path if root.startswith("file:") else root
-    return fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
-
-
-def _put(root: str, name: str, data: bytes) -> None:
-    """Write a file whole: repeated tasks make equal files, and the last to be there stays."""
-    store, base = _store(root)
-    store.create_dir(base, recursive=True)
-    temp = f"{base}/.{name}.{uuid.uuid4().hex}"
-    with store.open_output_stream(temp) as f:
-        f.write(data)
-    try:
-        store.move(temp, f"{base}/{name}")
-    except OSError:
-        if store.get_file_info(f"{base}/{name}").size != len(data):
-            raise
-        store.delete_file(temp)
-
-
 def open_file(root: str, name: str) -> TokenFile:
     """One of the files below a folder; from a local disk it is mapped, not read."""
-    store, base = _store(root)
-    if isinstance(store, fs.LocalFileSystem):
-        return TokenFile(pa.memory_map(f"{base}/{name}").read_buffer())
-    with store.open_input_file(f"{base}/{name}") as f:
-        return TokenFile(f.read())
+    if store.is_local(root):
+        return TokenFile(pa.memory_map(f"{store.open_store(root)[1]}/{name}").read_buffer())
+    return TokenFile(store.get_bytes(f"{root}/{name}"))
 
 
 _FILES = "part int, file int, name string, first long, n_ids long"
@@ -199,7 +173,7 @@ def _encoded(path: str, end_id: int, folder: str):
 
         def done() -> None:
             name = f"part-{part:05d}-{len(rows):05d}.lsef"
-            _put(folder, name, write_file(held, encoder.kind, names))
+            store.put_bytes(f"{folder}/{name}", write_file(held, encoder.kind, names))
             rows.append((part, len(rows), name, first, size))
 
         for batch in sized_batches(batches, "text"):
