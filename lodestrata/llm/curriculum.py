@@ -13,33 +13,52 @@ no task holds a source.
 
 from __future__ import annotations
 
-from itertools import cycle
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.llm._common import Scratch
+
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 CAP = 2
 #: How the rates change over the run: rising, even, falling, repeating in the order of the sources.
 TILTS = (0.5, 0.0, -0.5)
 BUCKET_ROWS = 512
-#: With more sources than this, their table is joined by a shuffle instead of a broadcast (about 60 bytes a row).
-BROADCAST_SOURCES = 50_000
+#: A larger table of sources is joined by a shuffle instead of a broadcast: bytes of the names, and of what else a row holds.
+BROADCAST_BYTES = 8 << 20
+SOURCE_BYTES = 100
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def targets(sizes: list[int], weights: list[float], budget: float = BUDGET, cap: float = CAP) -> list[float]:
-    """Shares of budget * all sizes by weight; none above cap * its size, the excess shared again."""
-    total, spare = budget * sum(sizes), float(sum(weights))
-    out = [0.0] * len(sizes)
-    for i in sorted(range(len(sizes)), key=lambda i: (cap * sizes[i] / weights[i], i)):
-        # The source that reaches its cap first: if it does not, none of the rest does.
-        out[i] = min(float(cap * sizes[i]), weights[i] * total / spare)
-        if out[i] == cap * sizes[i]:
-            total -= out[i]
-            spare -= weights[i]
-    return out
+def _numbered(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Adds ``source_no``: the place of a source by code point, a null one last.  The driver gathers one number for each range partition."""
+    ordered = found.orderBy(F.col("source").isNull(), "source").withColumn("part", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id())
+    ordered = scratch.keep(ordered, "ordered")
+    parts = sorted(ordered.groupBy("part").agg(F.min("seq"), F.count("*")).collect())
+    begins = [(part, sum(n for *_, n in parts[:i]) - low) for i, (part, low, _) in enumerate(parts)]
+    starts = found.sparkSession.createDataFrame(begins, "part int, begin long")
+    return ordered.join(F.broadcast(starts), "part").select(*found.columns, (F.col("begin") + F.col("seq")).alias("source_no"))
+
+
+def targets(sources: DataFrame, scratch: Scratch, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
+    """Adds source_no, target, tilt to ``sources`` (source, source_size, n): shares of budget * all sizes by weight; none above cap * its size.
+
+    The excess of sources above their cap is shared again by weight among the rest, until none is
+    above.  Each turn is one sum over the table of sources, which stays in Spark.
+    """
+    place = F.col("source_no")
+    pick = lambda values: F.get(F.array(*[F.lit(float(v)) for v in values]), (place % len(values)).cast("int"))
+    table = _numbered(sources, scratch).withColumn("weight", pick(weights)).withColumn("tilt", pick(TILTS)).withColumn("most", cap * F.col("source_size"))
+    table = scratch.keep(table, "weighed")
+    whole, spare = table.agg(budget * F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).head()
+    total, left, capped = float(whole), spare, 0
+    while left > 0:
+        share = F.col("weight") * F.lit(total) / F.lit(left)
+        n, most, weight = table.where(F.col("most") <= share).agg(F.count("*"), F.coalesce(F.sum("most"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).head()
+        if n == capped:
+            return table.withColumn("target", F.least(F.col("most").cast("double"), share))
+        total, left, capped = float(whole) - float(most), spare - weight, n
+    return table.withColumn("target", F.col("most").cast("double"))
 
 
 def planned(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float = CAP, carry: list[str] | None = None) -> DataFrame:
@@ -50,10 +69,9 @@ def planned(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float
     word, so taken words sum to the target without its fraction.  ``start`` counts the words of the
     source before the document.  A null source is a source, the last one; sources of size 0 take
     nothing.  Repeated rows are documents of their own; rows of one doc_id and text come in the order of a hash of their carried columns.  An empty table gives an empty result.
-    The driver holds one row for each source.
+    The table of sources stays in Spark, and is broadcast only below ``BROADCAST_BYTES``.
     """
     carry = carry or []
-    spark = docs.sparkSession
     text = F.col("text").cast("string")
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long")).alias("size"),
@@ -61,16 +79,12 @@ def planned(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: float
     )
     hashable = [f"c{i}" for i in range(len(carry)) if not any(x in sized.schema[f"c{i}"].dataType.simpleString() for x in ("map<", "variant"))]
     sized = sized.withColumn("more", F.xxhash64(*hashable) if hashable else F.lit(0).cast("long"))
-    found = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
-    many = max(BUCKET_ROWS, int(sum(r["n"] for r in found) ** 0.5))
-    rows = [
-        (r["source"], i, r["size"], t, tilt, -(-r["n"] // many))
-        for i, (r, t, tilt) in enumerate(zip(found, targets([r["size"] for r in found], [w for w, _ in zip(cycle(weights), found)], budget, cap), cycle(TILTS)))
-    ]
-    table = spark.createDataFrame(rows, "source string, source_no int, source_size long, target double, tilt double, buckets int")
-    if len(rows) <= BROADCAST_SOURCES:
-        table = F.broadcast(table)
+    scratch = Scratch(docs.sparkSession, "curriculum")
+    found = scratch.keep(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "sources")
+    rows, number, long = found.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.octet_length("source")), F.lit(0))).head()
+    many = max(BUCKET_ROWS, int(rows**0.5))
+    table = targets(found, scratch, weights, budget, cap).select("source", "source_no", "source_size", "target", "tilt", F.ceil(F.col("n") / many).alias("buckets"))
+    table = F.broadcast(table) if number * SOURCE_BYTES + long <= BROADCAST_BYTES else table
     sized = sized.withColumnRenamed("source", "own").join(table, F.col("own").eqNullSafe(F.col("source")))
     part = F.conv(F.substring("turn", 1, 8), 16, 10).cast("long")
     sized = sized.withColumn("bucket", F.floor(part * F.col("buckets") / F.lit(1 << 32)).cast("int")).drop("own", "source", "buckets")

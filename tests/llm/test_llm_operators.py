@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -530,6 +531,56 @@ def test_toxicity_generalises_to_unseen_documents(spark):
     assert np.mean(caught) > 0.9 and np.mean(wrong) < 0.02
 
 
+def test_learner_equals_plain_ftrl(spark):
+    """The trained weights and scores against FTRL-proximal on dictionaries, over features made word by word."""
+    from lodestrata.llm import toxicity as t
+
+    def number(h):
+        h ^= h >> 30
+        h = h * 0xBF58476D1CE4E5B9 % 2**64
+        h ^= h >> 27
+        h = h * 0x94D049BB133111EB % 2**64
+        return (h ^ h >> 31) >> (64 - t.BITS)
+
+    def plain_features(text):
+        own = re.sub("[^0-9a-z\x80-\xff]", " ", text.lower().encode().decode("latin-1")).encode("latin-1").split()
+        one = [xxhash.xxh3_64_intdigest(w) for w in own]
+        f = [int(x) for x in t._PAIR]
+        hashes = one + [xxhash.xxh3_64_intdigest(w[:n], seed=n) for n in t.STEMS for w in own]
+        hashes += [(a * f[0] + b * f[1]) % 2**64 for a, b in zip(one, one[1:], strict=False)]
+        hashes += [(a * f[2] + b * f[3]) % 2**64 for a, b in zip(one, one[2:], strict=False)]
+        return {number(h) for h in hashes}
+
+    rows = [*toxic_corpus(250, 3), ("", 0), ("Scum! scum scum", 1)]
+    docs = docs_of(spark, [text for text, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    held = lambda i: i % 5 == 0
+    turn = dict(docs.select("doc_id", F.xxhash64("doc_id")).collect())
+    learned = sorted((i for i in range(len(rows)) if not held(i)), key=turn.get)
+    found = [plain_features(text) for text, _ in rows]
+    often = Counter(x for i in learned for x in found[i])
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(x):
+        pull = 0.0 if x == t.SIZE else t.L1
+        return 0.0 if abs(z[x]) <= pull else (math.copysign(pull, z[x]) - z[x]) / ((t.BETA + math.sqrt(n[x])) / t.ALPHA + t.L2)
+
+    for epoch in range(t.EPOCHS):
+        for k in np.random.default_rng(epoch).permutation(len(learned)):
+            i = learned[k]
+            own = [x for x in found[i] if often[x] >= t.MIN_DOCS] + [t.SIZE]
+            w = {x: weight(x) for x in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - rows[i][1]
+            for x in own:
+                z[x] += g - (math.sqrt(n[x] + g * g) - math.sqrt(n[x])) / t.ALPHA * w[x]
+                n[x] += g * g
+    weights = t.train(docs, labels, F.col("doc_id") % 5 != 0)
+    assert weights == pytest.approx({x: weight(x) for x in list(z) if weight(x) != 0.0})
+    scores = {r.c0: r.score for r in t.toxicity_scores(docs, labels, F.col("doc_id") % 5 != 0).collect()}
+    want = {i: 1 / (1 + math.exp(-(weight(t.SIZE) + sum(weight(x) for x in found[i] if x in z)))) for i in range(len(rows))}
+    assert scores == pytest.approx(want, rel=1e-4)
+
+
 def test_toxicity_edges(spark):
     from lodestrata.llm.toxicity import toxicity_scores
 
@@ -555,15 +606,47 @@ def test_scores_of_a_batch_do_not_cross_documents(spark):
 # --- op8 ---------------------------------------------------------------------------------------------------------
 
 
-def test_targets_share_the_excess():
+def plain_targets(sizes, weights, budget=1.5, cap=2):
+    """The excess reshared by weight until none is above its cap, on lists."""
+    out, free, total = [0.0] * len(sizes), set(range(len(sizes))), budget * sum(sizes)
+    while free:
+        spare = sum(weights[i] for i in free)
+        above = {i for i in free if cap * sizes[i] <= weights[i] * total / spare}
+        if not above:
+            for i in free:
+                out[i] = weights[i] * total / spare
+            break
+        for i in above:
+            out[i] = float(cap * sizes[i])
+        total, free = total - sum(cap * sizes[i] for i in above), free - above
+    return out
+
+
+def test_targets_share_the_excess(spark):
+    from lodestrata.llm._common import Scratch
     from lodestrata.llm.curriculum import targets
 
-    for sizes, weights in (([100, 10, 1000], [3, 1, 2]), ([1, 1, 1, 1], [3, 1, 2, 3]), ([0, 5], [3, 1]), ([], []), ([0], [1]), ([7, 7], [1, 1000])):
-        got = targets(sizes, weights)
-        assert sum(got) == pytest.approx(1.5 * sum(sizes)) and all(g <= 2 * s + 1e-9 for g, s in zip(got, sizes, strict=True))
-        free = [g / w for g, s, w in zip(got, sizes, weights, strict=True) if g < 2 * s - 1e-9]
-        capped = [g / w for g, s, w in zip(got, sizes, weights, strict=True) if g >= 2 * s - 1e-9]
-        assert not free or (max(free) == pytest.approx(min(free)) and all(c <= min(free) + 1e-9 for c in capped))
+    rng = random.Random(80)
+    many = {f"{rng.choice('aBé')}{i}": int(10 ** rng.uniform(0, 6)) for i in range(300)}
+    for given in ({"a": 100, "b": 10, None: 1000}, {"a": 0, "b": 5}, {}, {"a": 0}, {"a": 0, None: 0}, {str(i): 2**i for i in range(12)}, many):
+        names = sorted(given, key=lambda s: (s is None, (s or "").encode()))
+        weights = [(3, 1, 2)[i % 3] for i in range(len(names))]
+        want = plain_targets([given[s] for s in names], weights)
+        rows = spark.createDataFrame([(s, n, 1) for s, n in given.items()], "source string, source_size long, n long").repartition(3)
+        got = sorted(targets(rows, Scratch(spark, "test")).select("source_no", "source", "target").collect())
+        assert [r.source for r in got] == names and [r.source_no for r in got] == list(range(len(names)))
+        assert [r.target for r in got] == pytest.approx(want)
+        assert sum(want) == pytest.approx(1.5 * sum(given.values())) and all(t <= 2 * given[s] for t, s in zip(want, names, strict=True))
+
+
+def test_mix_does_not_depend_on_what_is_broadcast(spark, monkeypatch):
+    from lodestrata.llm import curriculum
+
+    rng = random.Random(81)
+    docs = docs_of(spark, [" ".join(words(rng, rng.randrange(0, 30))) for _ in range(300)], [rng.choice(["a", "a", "b", None, f"s{i}"]) for i in range(300)])
+    want = sorted(map(tuple, curriculum.planned(docs).collect()))
+    monkeypatch.setattr(curriculum, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, curriculum.planned(docs).collect())) == want
 
 
 def test_mix_meets_its_targets(spark):
