@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     # A class is a set; its first document stands for it.
     classes = scratch.keep(profile.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id")), "classes")
     first = profile.where("node is not null").join(classes.select(F.col("node").alias("n2"), "first_id"), (F.col("node") == F.col("n2")) & F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    first = first.select("node", "signature", "bands")
+    first = first.select("node", "n_shingles", "signature", "bands")
 
     # Buckets of more than one class, and the links of each class with its buckets' smallest class.
     banded = first.select("node", F.explode("bands").alias("key"))
@@ -238,8 +238,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     signed = scratch.keep(first.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "signed")
     limit = most_differences(percent)
     pairs = banded.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = pairs.join(signed.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a").join(signed.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-    pairs = scratch.keep(pairs.where(differences(F.col("sa"), F.col("sb")) <= limit).select("a", "b"), "pairs-1")
+    pairs = pairs.join(signed.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa")), "a").join(signed.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb")), "b")
+    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")  # sets of other sizes cannot meet the threshold
+    pairs = scratch.keep(pairs.where(alike & (differences(F.col("sa"), F.col("sb")) <= limit)).select("a", "b"), "pairs-1")
     links = scratch.keep(_confirm(docs, classes, pairs, scratch, "1", percent, size), "links-1")
     part = connected(links, scratch, "part")
 
@@ -250,9 +251,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     main = sizes.groupBy("key").agg(F.max_by("root", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
     open_ = placed.join(main, "key").join(signed, "node")
     open_ = scratch.keep(open_, "open")
-    x = open_.where("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("main"), F.col("signature").alias("sa"), F.col("bands").alias("ba"))
-    y = open_.select(F.col("key").alias("key2"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("signature").alias("sb"), F.col("bands").alias("bb"))
-    near = (F.col("key") == F.col("key2")) & (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & (differences(F.col("sa"), F.col("sb")) <= limit)
+    x = open_.where("root <> main").select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("main"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"), F.col("bands").alias("ba"))
+    y = open_.select(F.col("key").alias("key2"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"), F.col("bands").alias("bb"))
+    near = (F.col("key") == F.col("key2")) & (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b"))) & alike & (differences(F.col("sa"), F.col("sb")) <= limit)
     shared = F.coalesce(*[F.when(F.col("ba")[i] == F.col("bb")[i], F.col("ba")[i]) for i in range(banding(percent)[0])])
     near &= shared == F.col("key")  # once for each pair, at the first key that it shares
     more = x.join(y.hint("merge"), near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
