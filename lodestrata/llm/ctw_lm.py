@@ -98,7 +98,7 @@ class _Level:
 
 
 class Tree(NamedTuple):
-    """Runs, and the predictions of a one at all their nodes, for a bit after which no longer context has been seen."""
+    """Runs, and the predictions (see ``_rarer``) at all their nodes, for a bit after which no longer context has been seen."""
 
     #: For each depth the sorted codes of its runs.
     codes: list[np.ndarray]
@@ -125,9 +125,19 @@ def _firsts(codes: np.ndarray, bits: int) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
 
 
-def _bit_log(codes: np.ndarray, bits: int, p: np.ndarray) -> np.ndarray:
-    """log10 probability of the codes' next bit, a one having probability p."""
-    return np.log10(np.where(((codes >> np.uint64(7 - bits)) & np.uint64(1)).astype(bool), p, 1 - p))
+def _rarer(p: np.ndarray) -> np.ndarray:
+    """A prediction as it is kept: the probability of the rarer bit, below zero if that is a zero.
+
+    The probability of a one itself would be 1 in 32 bits after some 17 million ones, and a zero impossible.
+    """
+    return np.where(p < 0.5, p, p - 1).astype(np.float32)
+
+
+def _bit_log(codes: np.ndarray, bits: int, rarer: np.ndarray) -> np.ndarray:
+    """log10 probability of the codes' next bit by predictions as they are kept."""
+    one = ((codes >> np.uint64(7 - bits)) & np.uint64(1)).astype(bool)
+    p = np.abs(rarer)
+    return np.log10(np.where(one == (rarer > 0), p, 1 - p))
 
 
 class _Weighed(NamedTuple):
@@ -172,7 +182,7 @@ def _weigh(runs: list[tuple[np.ndarray, np.ndarray]], depth: int = 0, below: lis
         ones = []
         for d, level in enumerate(levels):
             last = depth + d == DEPTH
-            ones.append((done + left * (level.kt if last else own[d] * level.kt + (1 - own[d]) * 0.5)).astype(np.float32))
+            ones.append(_rarer(done + left * (level.kt if last else own[d] * level.kt + (1 - own[d]) * 0.5)))
             if d + 1 < len(levels):
                 done, left = (done + left * own[d] * level.kt)[parents[d]], (left * (1 - own[d]))[parents[d]]
         out.append(_Weighed(levels, ones, log_pw, done, left))

@@ -321,6 +321,23 @@ def test_scores_do_not_depend_on_what_is_broadcast(spark, monkeypatch):
         assert [got[i] for i in range(len(texts))] == pytest.approx(expected, rel=1e-6)
 
 
+def test_a_bit_after_very_many_others_has_a_finite_score(spark):
+    """In 32 bits a one is certain after some 17 million ones; the zero of a held-out text was then impossible."""
+    from lodestrata.llm import ctw_lm as C
+    from lodestrata.llm.toxicity import fold
+
+    for n in (10**6, 10**8, 10**11):
+        full = np.array([int.from_bytes(b"o" * C.DEPTH + b"o", "big")], np.uint64)
+        runs = [(full & np.uint64((1 << (8 * (d + 1))) - 1), np.array([n])) for d in range(C.DEPTH + 1)]
+        got = C.Model(C.weighted_tree(runs)).scores(full - np.uint64(1))[0]  # an n after nothing but o
+        assert got == pytest.approx(math.log10(0.5 / (n + 1)), rel=1e-4)
+    ids = [[i for i in range(60) if fold7(i) == held] for held in (False, True)]
+    rows = [(i, "o" * 1_000_000) for i in ids[0][:36]] + [(ids[1][0], "ooooooonooo"), (ids[1][1], "ooo")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in C.scored_texts(docs, ~(fold(F.col("doc_id")) % 7 == 2)).collect()}
+    assert len(score) == len(rows) and all(math.isfinite(x) and x < 0 for x in score.values())
+
+
 def test_scores_without_training(spark):
     from lodestrata.llm.ctw_lm import scored_texts
 
