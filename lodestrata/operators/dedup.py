@@ -8,39 +8,77 @@ removed stays removed.  Rows of different buckets never meet.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.functions.hashing import hamming
 from lodestrata.sources.scratch import Scratch
 
 
-def _blocks(words: int, word_bits: int, threshold: int) -> list[list[int]]:
-    """Masks for each word that cut all bits into threshold + 1 blocks: hashes within the threshold agree in one of them."""
-    total, out = words * word_bits, []
-    for i in range(threshold + 1):
-        low, high = i * total // (threshold + 1), (i + 1) * total // (threshold + 1)
-        cut = [((1 << max(min(high, (w + 1) * word_bits) - w * word_bits, 0)) - 1) & ~((1 << max(low - w * word_bits, 0)) - 1) for w in range(words)]
-        out.append([m - (1 << 64) if m >> 63 else m for m in cut])
-    return out
-
-
-def near_pairs(hashes: DataFrame, words: tuple[str, ...], threshold: int, key: str = "row_id", word_bits: int = 64) -> DataFrame:
-    """Pairs of one bucket within the distance: a < b, distance; each is found in the first block of bits that both share."""
-    blocks = _blocks(len(words), word_bits, threshold)
-    keys = F.array(*[F.xxhash64(*[F.col(w).bitwiseAND(F.lit(m).cast("long")) for w, m in zip(words, masks, strict=True)]) for masks in blocks])
-    hashes = hashes.where(F.col(words[0]).isNotNull()).select("bucket", key, *words, F.posexplode(keys).alias("block", "part"))
-    a = hashes.select("bucket", "block", "part", F.col(key).alias("a"), *[F.col(w).alias(f"a_{w}") for w in words])
-    b = hashes.select("bucket", "block", "part", F.col(key).alias("b"), *[F.col(w).alias(f"b_{w}") for w in words])
-    apart = [F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}")) for w in words]
-    shared = F.coalesce(*[F.when(reduce(lambda x, y: x & y, [x.bitwiseAND(F.lit(m).cast("long")) == 0 for x, m in zip(apart, masks, strict=True)]), F.lit(i)) for i, masks in enumerate(blocks)])
-    distance = hamming(tuple(F.col(f"a_{w}") for w in words), tuple(F.col(f"b_{w}") for w in words))
-    pairs = a.join(b, ["bucket", "block", "part"]).where((F.col("a") < F.col("b")) & (distance <= threshold) & (shared == F.col("block")))
-    return pairs.select("a", "b", distance.alias("distance"))
+#: Rows of a bucket that one task compares with as many others; larger buckets are cut into tiles.
+CHUNK = 4096
+
+def _columns(words: np.ndarray) -> list[np.ndarray]:
+    """The columns of hash words; two of 32 bits make one of 64."""
+    if words.shape[1] == 2 and not (words >> 32).any():
+        return [words[:, 0] << 32 | words[:, 1]]
+    return [np.ascontiguousarray(words[:, k]) for k in range(words.shape[1])]
+
+
+def _apart(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Bits in which hashes differ, given by columns."""
+    total = np.bitwise_count(x[0] ^ y[0])
+    for a, b in zip(x[1:], y[1:], strict=True):
+        total = total.astype(np.uint16) + np.bitwise_count(a ^ b)
+    return total
+
+
+def _tile(keys: np.ndarray, words: list[np.ndarray], second: np.ndarray, same: bool, threshold: int) -> Iterator[pa.RecordBatch]:
+    """Near pairs of one tile: of the rows of a chunk with those of the second one, or among themselves."""
+    rows = np.flatnonzero(~second)
+    others = rows if same else np.flatnonzero(second)
+    held, size = [], 0
+    step = max(1, (1 << 20) // max(len(others), 1))
+    for at in range(0, len(rows), step):
+        i, j = rows[at : at + step], others[at:] if same else others
+        apart = _apart([w[i][:, None] for w in words], [w[j][None, :] for w in words])
+        x, y = np.nonzero(apart <= threshold)
+        a, b = keys[i[x]], keys[j[y]]
+        kept = (a != b) & (y > x) if same else a != b
+        held.append((np.minimum(a, b)[kept], np.maximum(a, b)[kept], apart[x, y][kept].astype(np.int32)))
+        size += len(held[-1][0])
+        if size > 100_000 or at + step >= len(rows):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=["a", "b", "distance"])
+            held, size = [], 0
+
+
+def near_pairs(hashes: DataFrame, words: tuple[str, ...], threshold: int, key: str = "row_id") -> DataFrame:
+    """All pairs of one bucket within the distance: a < b, distance.
+
+    Pairs and comparisons grow as the square of a bucket, whatever is shared: a bucket is cut into chunks of about
+    ``CHUNK`` rows, and each two of them, or one with itself, are a tile that is compared at once and by itself, wherever the
+    shuffle takes it.  A task holds the rows of one tile and about a million comparisons.  The hashes are written once.
+    """
+    spark = hashes.sparkSession
+    hashes = Scratch(spark, "pairs").keep(hashes.where(F.col(words[0]).isNotNull() & F.col(key).isNotNull()).select("bucket", key, *words), "hashes")
+    chunks = hashes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    cut = hashes.join(chunks, "bucket").withColumn("chunk", F.pmod(F.xxhash64(key), F.col("chunks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    tiles = cut.select("bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), (F.col("chunk") > F.col("other")).alias("second"), F.col(key).cast("long").alias("row"), *words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        columns = _columns(np.stack([rows[w].to_numpy().astype(np.int64) for w in words], axis=1))
+        yield from _tile(rows["row"].to_numpy(), columns, rows["second"].to_numpy(), rows["low"][0] == rows["high"][0], threshold)
+
+    # By number, so that the session does not join small partitions: tiles are small and their work is not.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tiles = tiles.repartition(n, "bucket", "low", "high")
+    return tiles.groupBy("bucket", "low", "high").applyInArrow(run, "a long, b long, distance int")
 
 
 def greedy_losers(order: np.ndarray, words: np.ndarray, scores: np.ndarray, threshold: int) -> np.ndarray:

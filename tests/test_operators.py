@@ -17,6 +17,7 @@ from lodestrata.functions.scores import coerce_score, max_label_score
 from lodestrata.functions.text import path_stem, strip_caption
 from lodestrata.functions.vectors import l2_normalised
 from lodestrata.operators import cluster as C
+from lodestrata.operators import dedup as D
 from lodestrata.operators import models as M
 from lodestrata.operators import quality as Q
 from lodestrata.operators import validate as V
@@ -112,6 +113,20 @@ def test_greedy_removal_equals_loops():
         assert greedy_losers(np.arange(n), np.array(words)[:, None], np.array(scores), 2).tolist() == loops(words, scores, 2)
 
 
+def test_near_pairs_of_cut_buckets(spark, monkeypatch):
+    """Buckets of one and of several chunks, copies, repeated keys and nulls; a dense bucket is many tasks' work."""
+    rng = random.Random(3)
+    rows = [(i, rng.choice([0, 0, 1, 2]), rng.randrange(1 << 9), rng.choice([0, 0xFFFFFFFF, rng.randrange(1 << 4)])) for i in range(400)]
+    rows += [(7, 0, 0, 0), (None, 0, 0, 0), (500, 0, None, None), (501, 3, 1, 1), (502, 4, 2, 2), (503, 4, 1, 2)]
+    expected = sorted((x[0], y[0], d) for x in rows for y in rows if None not in (x[0], y[0], x[2], y[2]) and x[1] == y[1] and x[0] < y[0] for d in [(x[2] ^ y[2]).bit_count() + (x[3] ^ y[3]).bit_count()] if d <= 3)
+    df = spark.createDataFrame(rows, "doc_id long, bucket long, hi long, lo long")
+    for most in (4096, 40):
+        monkeypatch.setattr(D, "CHUNK", most)
+        found = D.near_pairs(df, ("hi", "lo"), 3, "doc_id").withColumn("task", F.spark_partition_id()).collect()
+        assert sorted((r.a, r.b, r.distance) for r in found) == expected
+    assert len({r.task for r in found}) > 1
+
+
 @pytest.mark.parametrize(("words", "scores", "kept"), [([0, 0x3F, 0xFFF], [3, 2, 1], [0, 2]), ([0, 0x3F, 0xFC0], [5, 1, 6], [2]), ([5, 5], [1, 1], [0]), ([None, 5, 5], [9, None, None], [0, 2])])
 def test_greedy_dedup_in_spark(spark, words, scores, kept):
     rows = [(i, 0, w, None if s is None else float(s)) for i, (w, s) in enumerate(zip(words, scores, strict=True))]
