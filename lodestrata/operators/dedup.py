@@ -21,6 +21,9 @@ from lodestrata.sources.scratch import Scratch
 
 #: Rows of a bucket that one task compares with as many others; larger buckets are cut into tiles.
 CHUNK = 4096
+#: Later rows that a row is first compared with; four times as many follow as long as none of them beats it.
+FIRST = 256
+
 
 def _columns(words: np.ndarray) -> list[np.ndarray]:
     """The columns of hash words; two of 32 bits make one of 64."""
@@ -82,20 +85,37 @@ def near_pairs(hashes: DataFrame, words: tuple[str, ...], threshold: int, key: s
 
 
 def greedy_losers(order: np.ndarray, words: np.ndarray, scores: np.ndarray, threshold: int) -> np.ndarray:
-    """Flags of the rows removed in one bucket; ``words`` has a row of 64-bit words for each row, in order."""
-    live = np.ones(len(order), bool)
-    for i in range(len(order)):
-        if not live[i]:
-            continue
-        later = i + 1 + np.flatnonzero(live[i + 1 :])
-        near = later[np.bitwise_count(words[later] ^ words[i]).sum(axis=1) <= threshold]
-        beaten = scores[i] >= scores[near]  # false for NaN
-        stop = np.flatnonzero(~beaten)
-        if len(stop):
-            near = near[: stop[0]]
-            live[i] = False
-        live[near] = False
-    return ~live
+    """Flags of the rows removed in one bucket; ``words`` has a row of 64-bit words for each row, in order.
+
+    A row is compared with the rows after it only up to the one that beats it, and removed rows are taken out when they are most of the rest.
+    """
+    gone, place, columns = np.zeros(len(order), bool), np.arange(len(order)), _columns(words)
+    live, i, dead = np.ones(len(order), bool), 0, 0
+    while i < len(place):
+        if live[i]:
+            own, low, size = [c[i] for c in columns], i + 1, FIRST
+            while low < len(place):
+                high = min(low + size, len(place))
+                near = low + np.flatnonzero((_apart([c[low:high] for c in columns], own) <= threshold) & live[low:high])
+                stop = np.flatnonzero(~(scores[i] >= scores[near]))  # the comparison is false for NaN
+                if len(stop):
+                    near = near[: stop[0]]
+                    live[i] = False
+                live[near] = False
+                dead += len(near)
+                if len(stop):
+                    break
+                low, size = high, min(4 * size, 1 << 16)
+            gone[place[i]] = not live[i]
+        else:
+            gone[place[i]] = True
+            dead -= 1
+        i += 1
+        if 2 * dead > len(place) - i and dead > FIRST:
+            gone[place[i:][~live[i:]]] = True
+            left = i + np.flatnonzero(live[i:])
+            place, columns, scores, live, i, dead = place[left], [c[left] for c in columns], scores[left], np.ones(len(left), bool), 0, 0
+    return gone
 
 
 def greedy_dedup(hashes: DataFrame, words: tuple[str, ...], score: str, threshold: int, key: str = "row_id") -> DataFrame:
@@ -114,5 +134,7 @@ def greedy_dedup(hashes: DataFrame, words: tuple[str, ...], score: str, threshol
     hashes = Scratch(hashes.sparkSession, "dedup").keep(hashes, "hashes")
     hashed = hashes.where(F.col(words[0]).isNotNull())
     sizes = hashed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    gone = hashed.join(sizes, "bucket", "left_semi").select(key, "bucket", *words, F.col(score).cast("double").alias(score)).groupBy("bucket").applyInPandas(run, schema)
+    gone = hashed.join(sizes, "bucket", "left_semi").select(key, "bucket", *words, F.col(score).cast("double").alias(score))
+    n = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gone = gone.repartition(n, "bucket").groupBy("bucket").applyInPandas(run, schema)
     return hashes.join(gone, key, "left").withColumn("is_duplicate", F.coalesce("is_duplicate", F.lit(False)))

@@ -113,6 +113,20 @@ def test_greedy_removal_equals_loops():
         assert greedy_losers(np.arange(n), np.array(words)[:, None], np.array(scores), 2).tolist() == loops(words, scores, 2)
 
 
+def test_greedy_removal_of_large_buckets(monkeypatch):
+    """The same by loops over several rounds of later rows, and work that follows the rows where each is soon beaten."""
+    rng = random.Random(1)
+    for n, bits, columns in ((3000, 30, 1), (3000, 12, 2), (1500, 40, 3), (2500, 3, 1)):
+        words = [[rng.randrange(1 << bits) for _ in range(columns)] for _ in range(n)]
+        scores = [rng.choice([1.0, 2.0, 3.0, math.nan]) for _ in range(n)]
+        one = [sum(w << (bits * k) for k, w in enumerate(row)) for row in words]
+        assert greedy_losers(np.arange(n), np.array(words), np.array(scores), 6).tolist() == loops(one, scores, 6)
+    compared, count = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: compared.append(x.size) or count(x))
+    assert greedy_losers(np.arange(5000), np.zeros((5000, 1), np.int64), np.full(5000, math.nan), 6).tolist() == [True] * 4999 + [False]
+    assert sum(compared) <= 300 * 5000  # 12,497,500 when all later rows were compared
+
+
 def test_near_pairs_of_cut_buckets(spark, monkeypatch):
     """Buckets of one and of several chunks, copies, repeated keys and nulls; a dense bucket is many tasks' work."""
     rng = random.Random(3)
